@@ -81,8 +81,8 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     parts = docs.select(_split(F.col(text)).alias("parts")).select(_hashes(F.col("parts")).alias("h"))
     counts = _keys(parts, sizes, F.size("h"), []).join(asked, "key").groupBy("key").agg(F.count("*").alias("n"))
     ranked = places.join(counts, "key", "left").groupBy("window", "len", "items").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "offset")).alias("rare"))
-    prefix = materialize(ranked.select("window", "len", "items", "rare.key", "rare.offset"), "prefixes")
-    own = prefix.sparkSession.range(1).select(F.array().cast("array<string>").alias("window"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("items"), F.lit(SELF).cast("long").alias("key"), F.lit(0).alias("offset"))
+    prefix = materialize(ranked.select(F.array_join("window", " ").alias("window"), "len", "items", "rare.key", "rare.offset"), "prefixes")
+    own = prefix.sparkSession.range(1).select(F.lit("").alias("window"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("items"), F.lit(SELF).cast("long").alias("key"), F.lit(0).alias("offset"))
     prefix = prefix.unionByName(own).withColumnRenamed("key", "asked")
 
     digest = [F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("digest")] if with_digest else []
@@ -93,7 +93,8 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     is_self = (F.col("len") == 0) & (F.col("at") == F.size("parts"))
     start = F.col("at") - F.col("offset")
     stands = (F.col("len") > 0) & (start >= 0) & (start + F.col("len") <= F.size("parts"))
-    same = F.transform(F.slice("parts", F.greatest(start + 1, F.lit(1)), F.greatest("len", F.lit(0))), ascii_lower) == F.col("window")
+    # Only expressions that compile, or rows would carry whole texts from here on. No word holds a blank.
+    same = ascii_lower(F.array_join(F.slice("parts", F.greatest(start + 1, F.lit(1)), F.greatest("len", F.lit(0))), " ")) == F.col("window")
     found = met.join(sent(prefix), F.col("key") == F.col("asked")).filter(is_self | (stands & same))
     span = F.when(F.col("len") > 0, F.struct(start.alias("at"), F.col("len").alias("len")))
     got = found.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_words"), F.collect_list(span).alias("spans"), F.collect_set("items").alias("sets"), *[F.max("digest").alias("digest")] * with_digest)
