@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orthoweave.plans import documents, imagery, orbits, pairs, runs, scenes, strips  # noqa: F401  registers them
+from orthoweave.plans.registry import REGISTERED
+
 FLAGSHIP = "scene_affine_fit"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: q.run for name, q in REGISTERED.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: q.sql for name, q in REGISTERED.items() if q.sql}
