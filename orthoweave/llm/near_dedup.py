@@ -9,7 +9,7 @@ together is lost, while a large group of copies takes about one comparison a doc
 A pair at the limit of 0.8 follows one path to depth d with probability 0.8^d in each of 16 trees: it is missed with
 probability 8e-8 at depth 2 and 2e-4 at depth 4. The sketch drops it with probability 1e-7. Equal sets are put together
 beforehand. A node that no level splits is dealt out in blocks by a hash, and what its largest component leaves over is
-compared with all of its documents, block by block.
+compared with all of that component and with one another, on full sets, block by block.
 
 Cases: null text and text without a word: an empty set, linked with nothing; fewer words than a shingle: the words as one
 shingle; rows of one doc_id are one document; rows with a null doc_id are compared as well, and their group has the
@@ -125,21 +125,20 @@ def _sketches(column: pa.Array) -> np.ndarray:
     return np.concatenate([packed & 15, packed >> 4], 1)
 
 
-def _likely(node: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int, other: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places within runs of equal nodes whose sizes and sketches allow for a link."""
+def _likely(node: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of places within runs of equal nodes whose sizes and sketches allow for a link, and how far sketches agree."""
     for d in range(1, len(node)):
         i = np.flatnonzero(node[:-d] == node[d:])
         if not len(i):
             return
-        if other is not None:
-            i = i[other[i] != other[i + d]]
         lo, hi = np.minimum(n[i], n[i + d]), np.maximum(n[i], n[i + d])
         i = i[100 * lo >= percent * hi]
         for at in range(0, len(i), 65536):
             part = i[at : at + 65536]
-            part = part[(sketch[part] == sketch[part + d]).sum(1) >= LIKELY]
+            alike = (sketch[part] == sketch[part + d]).sum(1)
+            part, alike = part[alike >= LIKELY], alike[alike >= LIKELY]
             if len(part):
-                yield part, part + d
+                yield part, part + d, alike
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,13 +168,16 @@ def _cluster(percent: int):
                     i = j
                 return i
 
+            # The most alike first, so that the spanning links are those most likely to be confirmed.
+            found = list(_likely(node, n, _sketches(batch.column("sketch")), percent))
+            x, y, alike = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (node[:0].astype(np.int64),) * 3
+            order = np.argsort(-alike, kind="stable")
             edges = []
-            for x, y in _likely(node, n, _sketches(batch.column("sketch")), percent):
-                for i, j in zip(x.tolist(), y.tolist(), strict=True):
-                    a, b = root(i), root(j)
-                    if a != b:
-                        top[max(a, b)] = min(a, b)
-                        edges.append((i, j))
+            for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+                a, b = root(i), root(j)
+                if a != b:
+                    top[max(a, b)] = min(a, b)
+                    edges.append((i, j))
             i = np.array([e[0] for e in edges], np.int64)
             j = np.array([e[1] for e in edges], np.int64)
             first = np.array([root(e) for e in i.tolist()], np.int64)
@@ -185,17 +187,29 @@ def _cluster(percent: int):
 
 
 def _across(percent: int):
-    """Pairs of a left-over document and any other, of different components, within a block."""
+    """Links between left-over documents and others of another component, on full sets, within blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches):
-            node, rep, n, label = (batch.column(c).to_numpy() for c in ("node", "rep", "n", "label"))
-            rest = batch.column("rest").to_numpy(zero_copy_only=False)
+            node, rep, label = (batch.column(c).to_numpy() for c in ("node", "rep", "label"))
+            rest = batch.column("rest").to_numpy(zero_copy_only=False).astype(bool)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("set")]
+            size = np.array([len(x) for x in sets])
             a, b = [rep[:0]], [rep[:0]]
-            for x, y in _likely(node, n, _sketches(batch.column("sketch")), percent, label):
-                far = rest[x] | rest[y]
-                a.append(np.minimum(rep[x[far]], rep[y[far]]))
-                b.append(np.maximum(rep[x[far]], rep[y[far]]))
+            for at in np.split(np.arange(len(node)), np.flatnonzero(node[1:] != node[:-1]) + 1):
+                asks, told = at[rest[at]], at[~rest[at]]
+                if not len(asks) or not len(told):
+                    continue
+                known = np.unique(np.concatenate([sets[i] for i in asks]))
+                has = np.zeros((len(known), len(asks)), np.uint8)
+                for k, i in enumerate(asks):
+                    has[np.searchsorted(known, sets[i]), k] = 1
+                for j in told:
+                    spot = np.minimum(np.searchsorted(known, sets[j]), len(known) - 1)
+                    common = has[spot[known[spot] == sets[j]]].sum(0, dtype=np.int64)
+                    linked = asks[(100 * common >= percent * (size[asks] + size[j] - common)) & (common > 0) & (label[asks] != label[j])]
+                    a.append(np.minimum(rep[linked], rep[j]))
+                    b.append(np.maximum(rep[linked], rep[j]))
             yield pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
     return run
@@ -218,12 +232,16 @@ def leaves(reps: DataFrame, levels: int = LEVELS, leaf: int = LEAF) -> tuple[Dat
     return small, none.select("rep", "node", "size")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted")
+def _sets_of(wanted: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """uid, set of the documents whose uid is in wanted (column w)."""
     few = wanted.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(wanted) if few else wanted, docs["uid"] == wanted["w"], "left_semi")
-    sets = materialize(texts.mapInArrow(_sets(k), "uid long, set binary"), "sets")
+    return materialize(texts.mapInArrow(_sets(k), "uid long, set binary"), "sets")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar enough."""
+    sets = _sets_of(materialize(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted"), docs, k)
     x = sets.select(F.col("uid").alias("ux"), F.col("set").alias("x"))
     y = sets.select(F.col("uid").alias("uy"), F.col("set").alias("y"))
     both = pairs.join(x, F.col("a") == F.col("ux")).select("a", "b", "x").join(y, F.col("b") == F.col("uy")).select("a", "b", "x", "y")
@@ -262,24 +280,34 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     other = open_.select(F.col("node").alias("on"), F.col("first").alias("of"), F.col("rep").alias("b"), F.col("label").alias("lb"))
     more = open_.join(other, (open_["node"] == other["on"]) & (open_["first"] == other["of"]) & (open_["label"] < other["lb"])).select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
 
-    # An unsplit node: what its largest component leaves over meets all of the node.
+    more = materialize(more.distinct(), "more")
+    new = None if more.isEmpty() else _links(more, plain, shingle, percent)
+
+    # An unsplit node: what its largest component leaves over meets all of that component and of what is left over.
     held = unsplit.join(label, unsplit["rep"] == label["node"], "left").select(unsplit["node"], "rep", "size", F.coalesce("component", "rep").alias("label"))
     held = materialize(held, "unsplit")
     if not held.isEmpty():
-        sizes = held.groupBy("node", "size", "label").agg(F.count("*").alias("c")).groupBy("node", "size").agg(F.max(F.struct("c", "label")).alias("top"))
-        over = materialize(sizes.filter(F.col("top.c") < F.col("size")).select(F.col("node").alias("on"), F.col("top.label").alias("main"), F.ceil((F.col("size") - F.col("top.c")) / leaf).cast("long").alias("nr"), F.ceil(F.col("size") / leaf).cast("long").alias("na")), "over")
-        met = held.join(over, held["node"] == over["on"])
-        met = met.join(looks, met["rep"] == looks["r"]).withColumn("rest", F.col("label") != F.col("main"))
-        spot = lambda n: F.pmod(F.xxhash64("rep"), n)
-        blocks = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        asks = met.filter("rest").select("*", spot(F.col("nr")).alias("i"), blocks("na").alias("j")).select(F.xxhash64("node", "i", "j").alias("node"), "rep", "n", "sketch", "label", "rest")
-        told = met.select("*", blocks("nr").alias("i"), spot(F.col("na")).alias("j")).select(F.xxhash64("node", "i", "j").alias("node"), "rep", "n", "sketch", "label", F.lit(False).alias("rest"))
-        grid = asks.unionByName(told).repartition("node").sortWithinPartitions("node")
-        more = more.unionByName(grid.mapInArrow(_across(percent), "a long, b long"))
-    more = materialize(more.distinct(), "more")
-    if not more.isEmpty():
-        links = links.unionByName(_links(more, plain, shingle, percent))
-        label = materialize(components(links), "components2")
+        top = held.groupBy("node", "size", "label").agg(F.count("*").alias("c")).groupBy("node", "size").agg(F.max(F.struct("c", "label")).alias("top"))
+        over = materialize(top.filter(F.col("top.c") < F.col("size")).select(F.col("node").alias("on"), F.col("top.label").alias("main")), "over")
+        rest = held.join(over, held["node"] == over["on"]).filter("label <> main").select("main", "rep", "label").distinct()
+        rest = materialize(rest, "rest")
+        mains = materialize(rest.select(F.col("main").alias("c")).distinct(), "mains")
+        full = label.join(mains, label["component"] == mains["c"], "left_semi").select(F.col("component").alias("main"), F.col("node").alias("rep"))
+        full = full.unionByName(mains.select(F.col("c").alias("main"), F.col("c").alias("rep"))).distinct().withColumn("label", F.col("main"))
+        told = materialize(full.unionByName(rest), "told")
+        n_of = lambda df, name: df.groupBy("main").agg(F.ceil(F.count("*") / leaf).alias(name))
+        n = materialize(n_of(rest, "ni").join(n_of(told, "nj"), "main").select(F.col("main").alias("c"), "ni", "nj"), "blocks")
+        sets = _sets_of(materialize(told.select(F.col("rep").alias("w")).distinct(), "wanted"), plain, shingle)
+        spot = lambda of: F.pmod(F.xxhash64("rep"), F.col(of))
+        each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+        asks = rest.join(n, rest["main"] == n["c"]).select("main", "rep", "label", spot("ni").alias("i"), each("nj").alias("j"), F.lit(True).alias("rest"))
+        answers = told.join(n, told["main"] == n["c"]).select("main", "rep", "label", each("ni").alias("i"), spot("nj").alias("j"), F.lit(False).alias("rest"))
+        grid = asks.unionByName(answers).select(F.xxhash64("main", "i", "j").alias("node"), "rep", "label", "rest")
+        grid = grid.join(sets, grid["rep"] == sets["uid"]).select("node", "rep", "label", "rest", "set")
+        across = materialize(grid.repartition("node").sortWithinPartitions("node").mapInArrow(_across(percent), "a long, b long").distinct(), "across")
+        new = across if new is None else new.unionByName(across)
+    if new is not None:
+        label = materialize(components(links.unionByName(new)), "components2")
 
     got = member.join(label, member["rep"] == label["node"], "left")
     component = F.coalesce("component", "rep", "uid")
