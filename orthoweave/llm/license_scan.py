@@ -109,7 +109,7 @@ def canonical(text: Column) -> Column:
 
 
 def _lines(form: Column) -> Column:
-    return F.filter(F.transform(F.split(form, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(form, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def known(spark: SparkSession) -> DataFrame:
