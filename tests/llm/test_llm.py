@@ -1,0 +1,469 @@
+"""Each operator against brute force on small tables, with nulls, empty and long texts, ties, repeated rows, no rows and
+columns whose names clash with its own."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orthoweave.llm import chat_format, decontaminate, langid, license_scan, lm_score, mixing, near_dedup, pii, quality, queries, url_filter
+from orthoweave.llm.common import bucket
+from orthoweave.llm.components import components
+from tests.oracle import assert_same, connect
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+rnd = random.Random(7)
+WORD = [f"{a}{b}" for a in "bcdfgh" for b in ("a", "e", "io", "un")]
+prose = lambda n: " ".join(rnd.choice(WORD) for _ in range(n))
+EDGES = [None, "", " \n\t ", "One", "\x00\x00\x00\x00\x00\x00", "Ünïcode ßtraße İ K ΑΣ", prose(3000), "1" * 5000, "a@b " * 300]
+
+
+def frame(spark, texts, extra=False):
+    rows = [(i, t, ("en", "fr", None)[i % 3], ("s", None, "t")[i % 3], 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, DOCS)
+    for name in ("size", "score", "rule", "host", "spans", "kept", "uid", "n", "a", "b", "taken", "n_words") if extra else ():
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql(spark, name):
+    assert_same(queries.QUERIES[name](spark, SF), queries.ORACLE[name], connect(SF))
+
+
+# 1
+
+
+def test_urls(spark):
+    urls = ["http://A.B.example.ORG/es/x?y", "https://example.org/en/12#f", "example.org/es/", None, "x://com/de/", "x://a.com?/de/", "x://org", "x://xorg/", "http://a.com/fr/\n://b", "x://org/", "x://org/"]
+    pages = spark.createDataFrame([(i, u, "own", "h") for i, u in enumerate(urls)], "page_id int, url string, rule string, html string")
+    rules = spark.createDataFrame(queries.RULES, "verdict string, host string, path string")
+    got = {r.page_id: r for r in url_filter.url_filter(pages, rules).collect()}
+    assert len(got) == len(urls)
+    for i, u in enumerate(urls):
+        host = path = ""
+        if u and "://" in u:
+            rest = u.split("://", 1)[1]
+            m = re.match(r"([^/?#]*)([^?#]*)", rest, re.S)
+            host, path = "".join(c.lower() if c.isascii() else c for c in m[1]), m[2]
+        fits = [(len(h + p), h + p, v) for v, h, p in queries.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, None, "allow"))
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, best[1], best[2]), u
+    assert url_filter.url_filter(pages.limit(0), rules).count() == 0
+    assert {r.verdict for r in url_filter.url_filter(pages, rules.limit(0)).collect()} == {"allow"}
+
+
+# 2
+
+
+def test_licenses(spark):
+    mit = license_scan.KNOWN["MIT"]
+    texts = [mit, "MIT Licence\nCopyright (c) 2020 Me", "Copyright 1999 X. All rights reserved.\n" + mit.upper().replace(",", " , "), "text\nReleased under the MIT licence!\nLicensed under CC BY-NC 4.0", mit + " more", *EDGES]
+    got = {r.doc_id: r for r in license_scan.scan(frame(spark, texts, True), license_scan.known(spark)).collect()}
+    assert len(got) == len(texts)
+    assert [got[i].license for i in range(5)] == ["MIT", None, "MIT", None, None]
+    assert got[3].notices == "CC-BY-NC-4.0,MIT" and got[3].n_notices == 2
+    assert license_scan.scan(frame(spark, texts), license_scan.known(spark).limit(0)).filter("license is not null or n_notices > 0").count() == 0
+    assert license_scan.scan(frame(spark, []), license_scan.known(spark)).count() == 0
+
+
+# 3
+
+NAIVE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def naive_spans(t):
+    out = []
+    for kind, p in NAIVE.items():
+        for m in re.finditer(p, t or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in m[0].split(".")), "card": 13 <= len(d) <= 19 and pii.luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_pii_base_is_the_patterns(spark):
+    texts = ["".join(rnd.choice("0123456789.+- ()@ab%é") for _ in range(80)) for _ in range(800)] + ["Mail jo.doe@x-y.example.com, 4111 1111 1111 1111, +1 (551) 555-0826 or 10.0.0.255."] + [t for t in EDGES if t is None or len(t) < 4000]
+    got = {r.doc_id: r for r in pii.detect(frame(spark, texts, True)).collect()}
+    for i, t in enumerate(texts):
+        want = naive_spans(t)
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in want) for k in pii.KINDS]
+        assert got[i].base_sha256 == hashlib.sha256(pii.joined(want).encode()).hexdigest()
+        assert set(filter(None, pii.joined(want).split(","))) <= set(got[i].spans.split(","))
+    assert pii.detect(frame(spark, [])).count() == 0
+
+
+def test_pii_trees_add_spans_and_leave_plain_numbers(spark):
+    chosen = pii.models()
+    added = lambda t: [(k, t[a:b]) for k, a, b in set(pii.find(t, chosen)[1]) - set(pii.find(t, chosen)[0])]
+    assert added("write to john.smith [at] gmail [dot] com now") == [("email", "john.smith [at] gmail [dot] com")]
+    assert added("call me: (212) 555-0143 please") == [("phone", "(212) 555-0143")]
+    assert added("on 2020-10-12 at 12.50 the version 1.2.3 of page 12-14") == []
+    rng = random.Random(99)
+    right = total = 0
+    for kind in pii.KINDS:
+        for _ in range(300):
+            before, span, after, yes = pii._example(kind, rng)
+            text = before + span + after
+            hit = any(k == kind for k, *_ in added_spans(text, chosen))
+            total += hit
+            right += hit and yes
+    assert total > 300 and right / total > 0.97
+
+
+def added_spans(text, chosen):
+    base, spans = pii.find(text, chosen)
+    return set(spans) - set(base)
+
+
+def test_redaction(spark):
+    rows = pii.redact(frame(spark, ["mail a.b@c.de or c.d@e.fr, bye", None, "plain"])).sort("doc_id").collect()
+    assert [r.text for r in rows] == ["mail <EMAIL> or <EMAIL>, bye", None, "plain"] and rows[0].n_chars == len(rows[0].text)
+
+
+def test_time_grows_with_the_text_alone():
+    import time
+
+    for text in ("1" * 200_000, "a" * 200_000, "a@" * 100_000, "1." * 100_000, "+1" * 100_000, "1 " * 100_000):
+        began = time.time()
+        pii.find(text, pii.models())
+        assert time.time() - began < 5
+
+
+# 4
+
+
+def ctw(train, texts, depth):
+    """Context-tree weighting by its recursive definition."""
+    end = b"\xff"
+    counts, kids = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(set)
+
+    def walk(raw):
+        s = end * depth + raw + end
+        for i in range(depth, len(s)):
+            node = 1
+            for k in range(8):
+                bit = s[i] >> (7 - k) & 1
+                yield s, i, node, bit
+                node = node * 2 + bit
+
+    for raw in train:
+        for s, i, node, bit in walk(raw):
+            for d in range(depth + 1):
+                counts[s[i - d : i], node][bit] += 1
+                if d:
+                    kids[s[i - d + 1 : i], node].add((s[i - d : i], node))
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(a + b + 1)
+    memo = {}
+
+    def weighted(key):
+        if key not in memo:
+            own = kt(*counts[key])
+            memo[key] = own if len(key[0]) == depth else math.log(0.5) + np.logaddexp(own, sum(weighted(c) for c in kids[key]))
+        return memo[key]
+
+    def chance(s, i, node, d=0):
+        key = (s[i - d : i], node)
+        a, b = counts[key] if key in counts else (0, 0)
+        if d == depth:
+            return (b + 0.5) / (a + b + 1)
+        w = 0.5 * math.exp(kt(a, b) - weighted(key)) if key in counts else 0.5
+        return w * (b + 0.5) / (a + b + 1) + (1 - w) * chance(s, i, node, d + 1)
+
+    return [sum(math.log10(p if bit else 1 - p) for s, i, node, bit in walk(raw) for p in (chance(s, i, node),)) for raw in texts]
+
+
+@pytest.mark.parametrize("none_learns", [False, True])
+def test_scores(spark, none_learns):
+    texts = [prose(12).title() for _ in range(25)] + [t for t in EDGES if t is None or len(t) < 300] + [prose(5)] * 3
+    df = frame(spark, texts, True)
+    got = {r.doc_id: r for r in lm_score.score(df, F.lit(True) if none_learns else bucket(F.col("doc_id"), 3) == 0).collect()}
+    raw = [(t or "").encode().lower() for t in texts]
+    held = [none_learns or zlib.crc32(str(i).encode()) % 3 == 0 for i in range(len(texts))]
+    train = [r for r, h in zip(raw, held) if not h]
+    c = collections.Counter(w for r in train for w in r.split())
+    c["end"] = len(train)
+    n, v = sum(c.values()), sum(1 for x in c.values() if x)
+    for i, want in enumerate(ctw(train, raw, lm_score.DEPTH)):
+        words = raw[i].split() + ["end"]
+        assert got[i].held_out == held[i] and got[i].n_tokens == len(words) and got[i].train_tokens == n
+        assert got[i].n_known == sum(c[w] > 0 for w in words)
+        assert got[i].base_score == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words), rel=1e-9)
+        assert got[i].score == pytest.approx(want, rel=1e-5)
+    assert lm_score.score(frame(spark, []), F.lit(False)).count() == 0
+
+
+# 5
+
+
+def brute_contamination(texts, items, window=13):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+    out = []
+    for t in texts:
+        ws, hit, which = words(t), set(), set()
+        for k, item in items:
+            iw = words(item)
+            n = min(window, len(iw))
+            windows = {tuple(iw[i : i + n]) for i in range(len(iw) - n + 1)} if iw else set()
+            for i in range(len(ws) - n + 1) if iw else ():
+                if tuple(ws[i : i + n]) in windows:
+                    hit |= set(range(i, i + n))
+                    which.add(str(k))
+        out.append((len(ws), len(hit), sorted(which), bool(hit) and 20 * len(hit) >= len(ws)))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_contamination(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    long = prose(40)
+    items = [(3, long), (10, prose(20)), (2, "Ünï ΑΣ"), (5, None), (6, "--"), (7, long), (8, "da " * 30), (9, "zz"), (11, long[:60])]
+    bits = long.split()
+    texts = [long.upper(), prose(30) + ". " + "  ".join(bits[5:18]) + "! " + prose(5), " ".join(bits[:12]), prose(400) + " " + " ".join(bits[3:20]), "x Ünï, Ασ y", "da " * 12, "da-" * 14, "zz zz", *EDGES, long]
+    df = spark.createDataFrame(items, "item_id long, text string").withColumn("len", F.lit(1))
+    got = {r.doc_id: r for r in decontaminate.contamination(frame(spark, texts, True), df).collect()}
+    assert len(got) == len(texts)
+    for i, want in enumerate(brute_contamination(texts, items)):
+        assert (got[i].n_words, got[i].n_hit, got[i]["items"], got[i].contaminated) == want and got[i].n_items == len(want[2]), texts[i][:50]
+    kept = {r.doc_id for r in decontaminate.drop_contaminated(frame(spark, texts), df).collect()}
+    assert kept == {i for i, r in got.items() if not r.contaminated}
+    assert not decontaminate.contamination(frame(spark, texts), df.limit(0)).filter("contaminated").count()
+    assert decontaminate.contamination(frame(spark, []), df).count() == 0
+
+
+# 6
+
+
+def brute_components(texts, k, percent=80):
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    top = list(range(len(texts)))
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                a, b = root(i), root(j)
+                top[max(a, b)] = min(a, b)
+    return [(len(s), root(i)) for i, s in enumerate(sets)]
+
+
+def edited(text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rnd.randrange(len(w))] = rnd.choice(WORD) + "x"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize(("leaf", "levels", "k"), [(64, 4, 2), (3, 1, 2), (2, 2, 5)])
+def test_near_duplicates(spark, leaf, levels, k):
+    base = [prose(80) for _ in range(6)]
+    texts = [edited(rnd.choice(base), rnd.randint(0, 8)) for _ in range(90)] + [prose(40) for _ in range(30)] + [base[0]] * 12 + EDGES + ["one two", "One  TWO", "one", "ONE"]
+    want = brute_components(texts, k)
+    got = near_dedup.near_duplicates(frame(spark, texts, True), shingle=k, leaf=leaf, levels=levels).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == dict(enumerate(want))
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    kept = near_dedup.drop_near_duplicates(frame(spark, texts), shingle=k, leaf=leaf, levels=levels).collect()
+    assert sorted(r.doc_id for r in kept) == [i for i, (_, c) in enumerate(want) if i == c]
+
+
+def test_near_duplicates_without_ids_or_rows(spark):
+    assert near_dedup.near_duplicates(frame(spark, []), shingle=2).count() == 0
+    text = prose(30)
+    rows = spark.createDataFrame([(None, text), (None, text), (4, text + " da"), (None, "only one"), (9, None), (4, text + " da")], "doc_id long, text string")
+    got = [(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(rows, shingle=2).collect()]
+    assert sorted(got, key=str) == sorted([(None, 4), (None, 4), (4, 4), (4, 4), (None, None), (9, 9)], key=str)
+    assert near_dedup.drop_near_duplicates(rows, shingle=2).count() == 3
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, j) for j in range(101, 130)] + [(40, 50), (50, 60), (60, 40), (7, 7)]
+    rnd.shuffle(links)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 130)}, **{i: 40 for i in (40, 50, 60)}}
+
+
+# 7
+
+
+def test_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = queries.QUERIES["op7_langid"](spark, SF).join(docs, "doc_id").filter("held_out and n_chars > 40 and lang_pred <> 'und'").collect()
+    assert len(got) > 20 and sum(r.lang == r.lang_pred for r in got) / len(got) > 0.95
+    texts = [*EDGES, "12 34 !", "é"]
+    rows = {r.doc_id: r for r in langid.identify(frame(spark, texts, True), F.lit(True)).collect()}
+    for i, t in enumerate(texts):
+        und = not t or not any(c.isalpha() for c in t)
+        assert (rows[i].lang_pred == "und") == und and 0 <= rows[i].score <= 1
+    assert {r.lang_pred for r in langid.identify(frame(spark, texts), F.lit(False)).collect()} == {"und"}
+    assert langid.identify(frame(spark, []), F.lit(True)).count() == 0
+
+
+def test_grams_do_not_depend_on_pieces(monkeypatch):
+    text = prose(200)
+    whole = np.sort(np.concatenate(list(langid.grams(text))))
+    monkeypatch.setattr(langid, "PIECE", 17)
+    assert (np.sort(np.concatenate(list(langid.grams(text)))) == whole).all()
+
+
+# 8
+
+
+def brute_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, full, goal = 1.5 * sum(sizes.values()), set(), {}
+    while True:
+        total = sum(weight[s] for s in order if s not in full)
+        goal = {s: 2 * sizes[s] if s in full else left * weight[s] / total for s in order}
+        over = {s for s in order if s not in full and goal[s] > 2 * sizes[s]}
+        if not over:
+            return goal
+        full |= over
+        left -= sum(2 * sizes[s] for s in over)
+
+
+def test_mixing(spark):
+    rows = [(i, "w " * rnd.randint(0, 60), rnd.choice(["a", "b", "c", None, "é", "Z"] + ["hot"] * 5)) for i in range(700)] + [(900, "x y", "a")] * 40 + [(None, None, "b"), (901, "", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("x")).withColumn("p", F.lit(0))
+    got = mixing.mix(df).collect()
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    want = brute_targets(sizes)
+    assert len(got) == len(rows)
+    taken = collections.Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source]) and r.taken in (0, r.size, 2 * r.size)
+        taken[r.source] += r.taken
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 60 + 0.02 * want[s], s
+    again = mixing.mix(df.repartition(7).orderBy("text")).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert mixing.mix(df.limit(0)).count() == 0
+    mixed = mixing.take(df).collect()
+    assert sum(r.taken for r in mixed) == sum(taken.values()) and all(r.copies > 0 for r in mixed)
+
+
+def test_pivotal_rounding_keeps_the_expected_copies(spark):
+    rows = spark.createDataFrame([(i, "w " * 10, "only" if i % 2 else "other") for i in range(2000)], "doc_id long, text string, source string")
+    got = mixing.mix(rows, weights=(1, 3)).groupBy("source").agg(F.sum("copies").alias("c"), F.max("target").alias("t")).collect()
+    assert all(abs(r.c - r.t / 10) <= 1 for r in got)
+
+
+# 9
+
+
+def brute_quality(t):
+    t = t or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    seen, dup = set(), 0
+    for line in t.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    count = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    hit = {j for i in range(len(words) - 4) if count[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit)
+
+
+def test_quality(spark):
+    texts = [" ".join(rnd.choice("ab") for _ in range(rnd.randint(0, 60))) for _ in range(60)] + [prose(40) + "\n# x\n\n# x\r\n# x", prose(25) + " " + prose(9) * 6, *EDGES]
+    got = {r.doc_id: r for r in quality.judge(frame(spark, texts, True)).collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_quality(t)
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) and not (r.base_failed and r.kept)
+    assert quality.judge(frame(spark, [])).count() == 0
+
+
+def test_suffix_ranks_find_the_longest_repeats():
+    for _ in range(30):
+        docs = [[rnd.choice("abc") for _ in range(rnd.randint(1, 40))] for _ in range(4)]
+        tokens = np.array([ord(x) for d in docs for x in d])
+        doc = np.repeat(np.arange(4), [len(d) for d in docs])
+        want = []
+        for d in docs:
+            for i in range(len(d)):
+                best = 0
+                for j in range(len(d)):
+                    n = 0
+                    while i != j and max(i, j) + n < len(d) and d[i + n] == d[j + n]:
+                        n += 1
+                    best = max(best, n)
+                want.append(best)
+        assert quality.repeats(tokens, doc).tolist() == want
+
+
+# 10
+
+
+def test_rotations(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "ann", "yo"), (1, 3, None, "eh"), (2, 0, "system", "alone"), (None, 0, "ann", "x"), (3, 5, "ann", "same"), (3, 5, "ann", "same"), (3, None, "bob", "first")]
+    rows += [(4, i, ("ann", "bob")[i % 2], f"turn {i}") for i in range(150)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("len", F.lit(1)).withColumn("range", F.lit("z"))
+    got = collections.defaultdict(list)
+    for r in chat_format.rotations(df).collect():
+        got[r.conv_id, r.perspective].append(r)
+    assert set(got) == {(1, "ann"), (1, "bob"), (1, "unknown"), (None, "ann"), (3, "ann"), (3, "bob"), (4, "ann"), (4, "bob")}
+    for (conv, who), turns in got.items():
+        turns.sort(key=lambda r: r.position)
+        own = sorted(((-1 if t is None else t, s or "unknown", x or "") for c, t, s, x in rows if c == conv))
+        text, want = "", []
+        for _, s, x in own:
+            head = "<|im_start|>" + ("system" if s == "system" else "assistant" if s == who else f"user name={s}") + "\n"
+            want.append((len(text), len(text) + len(head), len(text) + len(head) + len(x), s == who))
+            text += head + x + "<|im_end|>\n"
+        assert "".join(r.segment for r in turns) == text
+        assert [(r.start, r.content_start, r.content_end, r.trained) for r in turns] == want and all(r.n_turns == len(own) for r in turns)
+    assert chat_format.rotations(df.limit(0)).count() == 0
+
+
+# pipeline
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "near-dedup", "decontamination", "PII", "mixing"]
+    step = docs
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        step = spark.createDataFrame(stage(spark, step, SF).collect(), docs.schema)
+        assert step.columns == docs.columns
+        got = {r.doc_id: r.text for r in step.collect()}
+        if name == "language ID":
+            want = {k for k, t in before.items() if t and any(c.isalpha() for c in t)}
+        elif name == "near-dedup":
+            ids = sorted(before)
+            want = {ids[i] for i, (_, c) in enumerate(brute_components([before[k] for k in ids], 5)) if c == i}
+        elif name == "decontamination":
+            items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+            ids = sorted(before)
+            want = {k for k, r in zip(ids, brute_contamination([before[k] for k in ids], items)) if not r[3]}
+        else:
+            want = set(before)
+            assert not any(naive_spans(t) for t in got.values())
+        assert set(got) == want, name
+        before = got
+    last = corpus_pipeline.STAGES[-1][1](spark, step, SF).collect()
+    total = sum(len((t or "").split()) for t in before.values())
+    assert abs(sum(r.taken for r in last) - 1.5 * total) < 0.03 * total
+    assert sorted(map(str, corpus_pipeline.run(spark, SF).collect())) == sorted(map(str, last))
