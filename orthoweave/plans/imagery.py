@@ -69,14 +69,14 @@ def sobel_gradient(spark, sf_dir):
     return tiles.sobel(pixels(spark, sf_dir)).withColumn("magnitude", F.round("magnitude", 6))
 
 
-@query("R19 B31 B32 B33", _P + " SELECT tile, r, c, round(least(1.5, greatest(0, CASE WHEN px > 0.1 THEN 1.25 ELSE 0 END + CASE WHEN abs(px) < 0.02 THEN 0.75 ELSE 0 END + CASE WHEN px < -0.1 THEN 0.35 ELSE 0 END - CASE WHEN px < -0.2 THEN 0.8 ELSE 0 END)), 6)::DOUBLE AS weight FROM pixels")
+@query("R19", _P + " SELECT tile, r, c, round(least(1.5, greatest(0, CASE WHEN px > 0.1 THEN 1.25 ELSE 0 END + CASE WHEN abs(px) < 0.02 THEN 0.75 ELSE 0 END + CASE WHEN px < -0.1 THEN 0.35 ELSE 0 END - CASE WHEN px < -0.2 THEN 0.8 ELSE 0 END)), 6)::DOUBLE AS weight FROM pixels")
 def class_weights(spark, sf_dir):
     px = F.col("px")
     w = tiles.class_weight(stable=px > 0.1, shoreline=F.abs(px) < 0.02, dark_farmland=px < -0.1, shallow_water=px < -0.2)
     return pixels(spark, sf_dir).select("tile", "r", "c", F.round(w, 6).alias("weight"))
 
 
-@query("R40 R39", _P + ", f AS (SELECT a.tile, a.r, a.c, a.px * 100 AS x, b.px * 100 AS y FROM pixels a JOIN pixels b ON a.tile = b.tile AND a.r = b.c AND a.c = b.r) SELECT tile, r, c, round(x * CASE WHEN sqrt(x*x+y*y) > 10 THEN 10 / (sqrt(x*x+y*y) + 1e-8) ELSE 1 END, 6) AS x, round(least(10.0, sqrt(x*x+y*y)), 6) AS magnitude FROM f")
+@query("R40", _P + ", f AS (SELECT a.tile, a.r, a.c, a.px * 100 AS x, b.px * 100 AS y FROM pixels a JOIN pixels b ON a.tile = b.tile AND a.r = b.c AND a.c = b.r) SELECT tile, r, c, round(x * CASE WHEN sqrt(x*x+y*y) > 10 THEN 10 / (sqrt(x*x+y*y) + 1e-8) ELSE 1 END, 6) AS x, round(least(10.0, sqrt(x*x+y*y)), 6) AS magnitude FROM f")
 def clamped_flow(spark, sf_dir):
     px = pixels(spark, sf_dir)
     flow = px.select("tile", "r", "c", (F.col("px") * 100).alias("x")).join(px.select("tile", F.col("c").alias("r"), F.col("r").alias("c"), (F.col("px") * 100).alias("y")), ["tile", "r", "c"])
@@ -84,13 +84,13 @@ def clamped_flow(spark, sf_dir):
     return flow.select("tile", "r", "c", F.round(got["x"], 6).alias("x"), F.round(got["magnitude"], 6).alias("magnitude"))
 
 
-@query("R42 R43", _P + ", f AS (SELECT tile, r, c, c + px * 4 AS x, r - px * 4 AS y FROM pixels), d AS (SELECT tile, lead(x) OVER rw - lag(x) OVER rw AS xc, lead(y) OVER rw - lag(y) OVER rw AS yc, lead(x) OVER cw - lag(x) OVER cw AS xr, lead(y) OVER cw - lag(y) OVER cw AS yr FROM f WINDOW rw AS (PARTITION BY tile, r ORDER BY c), cw AS (PARTITION BY tile, c ORDER BY r)) SELECT tile, avg(CASE WHEN xc*yr - yc*xr <= 0 THEN 1.0::DOUBLE ELSE 0 END) AS folded FROM d WHERE xc*yr - yc*xr IS NOT NULL GROUP BY tile")
+@query("R42", _P + ", f AS (SELECT tile, r, c, c + px * 4 AS x, r - px * 4 AS y FROM pixels), d AS (SELECT tile, lead(x) OVER rw - lag(x) OVER rw AS xc, lead(y) OVER rw - lag(y) OVER rw AS yc, lead(x) OVER cw - lag(x) OVER cw AS xr, lead(y) OVER cw - lag(y) OVER cw AS yr FROM f WINDOW rw AS (PARTITION BY tile, r ORDER BY c), cw AS (PARTITION BY tile, c ORDER BY r)) SELECT tile, avg(CASE WHEN xc*yr - yc*xr <= 0 THEN 1.0::DOUBLE ELSE 0 END) AS folded FROM d WHERE xc*yr - yc*xr IS NOT NULL GROUP BY tile")
 def fold_fraction(spark, sf_dir):
     flow = pixels(spark, sf_dir).select("tile", "r", "c", (F.col("c") + F.col("px") * 4).alias("x"), (F.col("r") - F.col("px") * 4).alias("y"))
     return tiles.folds(flow)
 
 
-@query("A23 R36 K15", _P + " SELECT strip, r, c, CAST(floor(least(255, greatest(0, sum(abs(px) * 300 * (1 + tile % 3)) / sum(1 + tile % 3))) + 1e-9) AS INT) AS value FROM pixels GROUP BY ALL")
+@query("A23", _P + " SELECT strip, r, c, CAST(floor(least(255, greatest(0, sum(abs(px) * 300 * (1 + tile % 3)) / sum(1 + tile % 3))) + 1e-9) AS INT) AS value FROM pixels GROUP BY ALL")
 def alpha_composite(spark, sf_dir):
     rows = pixels(spark, sf_dir).select("strip", "r", "c", (F.abs("px") * 300).alias("px"), (1 + F.col("tile") % 3).alias("alpha"))
     return tiles.composite(rows, by=["strip", "r", "c"])
@@ -120,7 +120,7 @@ def mask_agreement(spark, sf_dir):
     return tiles.mask_agreement(both)
 
 
-@query("B45 S20", _P + " SELECT tile, CAST(r // 2 AS INT) AS r, CAST(c // 2 AS INT) AS c, round(avg(px), 9) AS px FROM pixels GROUP BY ALL")
+@query("B45", _P + " SELECT tile, CAST(r // 2 AS INT) AS r, CAST(c // 2 AS INT) AS c, round(avg(px), 9) AS px FROM pixels GROUP BY ALL")
 def overview_level(spark, sf_dir):
     return tiles.overview(pixels(spark, sf_dir)).withColumn("px", F.round("px", 9))
 
@@ -150,7 +150,7 @@ def feature_gap(spark, sf_dir):
     return cos.groupBy("label").agg(F.count("*").alias("n"), quality.decision_band(F.percentile("cs", F.lit(0.5))).alias("band"))
 
 
-@query("R6 R17 B74 B75 B83 B84 P21")
+@query("R6 R17 B74 B75 B83")
 def tile_measures(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("tile"), kernels.tile_measures(F.col("embedding")).alias("m")).select("tile", "m.*")
 
@@ -160,17 +160,17 @@ def _next(spark, sf_dir):
     return e.select(F.col("vec_id").alias("tile"), F.col("embedding").alias("a")).join(e.select((F.col("vec_id") - 1).alias("tile"), F.col("embedding").alias("b")), "tile")
 
 
-@query("R11 R12 R13 R14 R20 R21 R33 A11 A14 B2 B90")
+@query("R11 R20")
 def tile_phase_shift(spark, sf_dir):
     return kernels.shifts(_next(spark, sf_dir), "a", "b").select("tile", "dx", "dy", "response", "changed")
 
 
-@query("R24 R25 R29 B103")
+@query("R24")
 def pyramid_blend(spark, sf_dir):
     return kernels.blended(_next(spark, sf_dir), "a", "b").select("tile", "px")
 
 
-@query("R8 S18 S19 S21 S22 S23 S24 B62 B80")
+@query("R8")
 def bilinear_warp(spark, sf_dir):
     tiles_ = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("tile"), "embedding")
     return kernels.warped(tiles_, "embedding", (0.98, -0.05, 0.3, 0.05, 0.98, -0.2)).select("tile", "px")
@@ -182,7 +182,7 @@ def minimum_seam(spark, sf_dir):
     return iterative.cheapest_seam(costs, by="tile")
 
 
-@query("O3 N3")
+@query("O3")
 def correlation_peaks(spark, sf_dir):
     rows = pixels(spark, sf_dir).select("tile", F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"), "px")
     return iterative.peaks(rows, by="tile", value="px", radius=2.5)

@@ -27,7 +27,7 @@ def element_sets(spark, sf_dir):
     return got.select("file", orbits.epoch(F.col("line1")).alias("epoch"), F.round(orbits.eccentricity(F.col("line2")), 7).alias("ecc"), F.round(orbits.mean_motion(F.col("line2")), 8).alias("n"))
 
 
-@query("F17 F18 F20 F22", f"WITH {_E}, a AS (SELECT file, ecc, pow(3.986004418e14 / pow(n * 2 * pi() / 86400, 2), 1.0::DOUBLE/3) AS a FROM e) SELECT file, round(a * (1 - ecc) - 6378137, 3) AS perigee_m, round(a - 6378137, 3) AS mean_m, round(a * (1 + ecc) - 6378137, 3) AS apogee_m, CASE WHEN a - 6378137 BETWEEN 140000 AND 280000 THEN round(a - 6378137, 3) END AS usable_m FROM a")
+@query("F17 F18 F22", f"WITH {_E}, a AS (SELECT file, ecc, pow(3.986004418e14 / pow(n * 2 * pi() / 86400, 2), 1.0::DOUBLE/3) AS a FROM e) SELECT file, round(a * (1 - ecc) - 6378137, 3) AS perigee_m, round(a - 6378137, 3) AS mean_m, round(a * (1 + ecc) - 6378137, 3) AS apogee_m, CASE WHEN a - 6378137 BETWEEN 140000 AND 280000 THEN round(a - 6378137, 3) END AS usable_m FROM a")
 def orbit_altitudes(spark, sf_dir):
     got = orbits.element_sets(_lines(spark, sf_dir))
     alt = orbits.altitudes(orbits.mean_motion(F.col("line2")), orbits.eccentricity(F.col("line2")))
@@ -35,7 +35,7 @@ def orbit_altitudes(spark, sf_dir):
 
 
 @query(
-    "J6 J7 J8",
+    "J6 J7",
     f"""WITH {TELEMETRY}, q AS (SELECT seq, scene, ts FROM telemetry WHERE stage = 'error'), r AS (SELECT seq, scene, ts FROM telemetry WHERE stage <> 'error'),
 j AS (SELECT q.seq, r.seq AS rs, row_number() OVER (PARTITION BY q.seq ORDER BY abs(epoch_us(r.ts) - epoch_us(q.ts)), r.seq) AS k FROM q JOIN r USING (scene))
 SELECT q.seq, q.scene, rs AS right_seq FROM q LEFT JOIN j ON q.seq = j.seq AND k = 1""",
@@ -46,14 +46,14 @@ def nearest_record(spark, sf_dir):
     return orbits.nearest_in_time(errors, others, by=["scene"], left_ts="ts", right_ts="ts", tie="seq").select("seq", "scene", "right_seq")
 
 
-@query("W3 B150", f"WITH {TELEMETRY}, s AS (SELECT scene, min(ts) AS a, max(ts) AS b FROM telemetry GROUP BY scene), p AS (SELECT scene, a, b, label, part FROM s, (VALUES ('Q0_start', 0.0), ('Q1_25%', 0.25), ('Q2_50%', 0.5), ('Q3_75%', 0.75), ('Q4_end', 1.0)) v(label, part) WHERE b > a OR label = 'Q0_start') SELECT scene, CASE WHEN b > a THEN label ELSE 't=start' END AS label, make_timestamp(epoch_us(a) + CAST(round((epoch_us(b) - epoch_us(a)) * part::DOUBLE) AS BIGINT)) AS at FROM p")
+@query("W3", f"WITH {TELEMETRY}, s AS (SELECT scene, min(ts) AS a, max(ts) AS b FROM telemetry GROUP BY scene), p AS (SELECT scene, a, b, label, part FROM s, (VALUES ('Q0_start', 0.0), ('Q1_25%', 0.25), ('Q2_50%', 0.5), ('Q3_75%', 0.75), ('Q4_end', 1.0)) v(label, part) WHERE b > a OR label = 'Q0_start') SELECT scene, CASE WHEN b > a THEN label ELSE 't=start' END AS label, make_timestamp(epoch_us(a) + CAST(round((epoch_us(b) - epoch_us(a)) * part::DOUBLE) AS BIGINT)) AS at FROM p")
 def quarter_samples(spark, sf_dir):
     spans = telemetry(spark, sf_dir).groupBy("scene").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     return orbits.quarter_samples(spans, by="scene")
 
 
 @query(
-    "F10 F21 A33 S16 B98 B99 B100 B135",
+    "F10 F21 A33 B100",
     """WITH m AS (SELECT p_partkey AS k, CASE WHEN p_size % 3 = 0 THEN p_size * 8000.0::DOUBLE END AS tle_mean_m, CASE WHEN p_size % 4 = 0 THEN 150.0::DOUBLE END AS per, CASE WHEN p_size % 4 = 0 THEN 350.0::DOUBLE - p_size END AS apo, CASE WHEN p_size % 5 = 0 THEN 300.0::DOUBLE END AS nom, 180.0::DOUBLE + p_size % 3 AS ser FROM part),
 g AS (SELECT k, CASE WHEN tle_mean_m BETWEEN 140000 AND 280000 THEN tle_mean_m END AS t, CASE WHEN (per + apo) / 2 * 1000 BETWEEN 140000 AND 280000 THEN (per + apo) / 2 * 1000 END AS c, coalesce(nom, ser) * 1000 AS n FROM m)
 SELECT k, coalesce(t, c, n) AS altitude_m, CASE WHEN t IS NOT NULL THEN 'tle' WHEN c IS NOT NULL THEN 'catalog' ELSE 'nominal' END AS altitude_source, round(coalesce(t, c, n) * 7 * 1e-6 / (609.6 * 1e-3), 6) AS gsd_m FROM g""",

@@ -45,7 +45,7 @@ def mad_rejection(spark, sf_dir):
     return pairs.reject_mad(match_pairs(spark, sf_dir)).select("id", "scene")
 
 
-@query("A8 B29 G24 G27", f"WITH {PAIRS}" + _FIT.format(t="pairs") + " SELECT scene, n, round(a, 6) AS a, round(b, 6) AS b, round(tx, 3) AS tx, round(c, 6) AS c, round(d, 6) AS d, round(ty, 3) AS ty, 'ok' AS status FROM fit")
+@query("A8 B29", f"WITH {PAIRS}" + _FIT.format(t="pairs") + " SELECT scene, n, round(a, 6) AS a, round(b, 6) AS b, round(tx, 3) AS tx, round(c, 6) AS c, round(d, 6) AS d, round(ty, 3) AS ty, 'ok' AS status FROM fit")
 def weighted_affine(spark, sf_dir):
     got = pairs.fit_affine(match_pairs(spark, sf_dir), F.col("prec"))
     return _rounded(_rounded(got, "a", "b", "c", "d"), "tx", "ty", digits=3)
@@ -87,7 +87,7 @@ def pairs_sufficient(spark, sf_dir):
 
 
 @query(
-    "W4 U3 U4",
+    "W4",
     f"""WITH {PAIRS}, r AS (SELECT *, floor(ref_x/2000) AS cx, floor(ref_y/2000) AS cy, row_number() OVER (PARTITION BY scene, floor(ref_x/2000), floor(ref_y/2000), floor(ref_x/500), floor(ref_y/500) ORDER BY confidence DESC, id) AS rk, count(*) OVER (PARTITION BY scene) AS n FROM pairs),
 s AS (SELECT *, rk <= 7 AS taken, count(*) FILTER (WHERE rk <= 7) OVER (PARTITION BY scene, cx, cy) AS have FROM r),
 t AS (SELECT *, row_number() OVER (PARTITION BY scene, cx, cy ORDER BY taken, confidence DESC, id) AS nx FROM s)
@@ -97,7 +97,7 @@ def cell_quota(spark, sf_dir):
     return pairs.quota(match_pairs(spark, sf_dir)).select("id", "scene")
 
 
-@query("N4 W5", f"WITH {PAIRS} SELECT id, scene FROM (SELECT *, row_number() OVER (PARTITION BY scene, floor(ref_x/25), floor(ref_y/25) ORDER BY confidence DESC, id) AS k FROM pairs) WHERE k = 1")
+@query("N4", f"WITH {PAIRS} SELECT id, scene FROM (SELECT *, row_number() OVER (PARTITION BY scene, floor(ref_x/25), floor(ref_y/25) ORDER BY confidence DESC, id) AS k FROM pairs) WHERE k = 1")
 def best_match_per_bin(spark, sf_dir):
     return pairs.best_per_cell(match_pairs(spark, sf_dir), cell_m=25.0).select("id", "scene")
 
@@ -121,12 +121,12 @@ def local_consistency(spark, sf_dir):
     return pairs.locally_consistent(rows.filter(~F.col("is_anchor")), rows, radius=100.0, within_m=10.0).select("id", "scene")
 
 
-@query("A18 B49", f"WITH {PAIRS}, v AS (SELECT scene, confidence AS v, sum(prec) AS w FROM pairs GROUP BY ALL), c AS (SELECT *, sum(w) OVER (PARTITION BY scene ORDER BY v) AS r, sum(w) OVER (PARTITION BY scene) AS t FROM v) SELECT scene, min(v) AS weighted_median FROM c WHERE r >= t / 2 GROUP BY scene")
+@query("A18", f"WITH {PAIRS}, v AS (SELECT scene, confidence AS v, sum(prec) AS w FROM pairs GROUP BY ALL), c AS (SELECT *, sum(w) OVER (PARTITION BY scene ORDER BY v) AS r, sum(w) OVER (PARTITION BY scene) AS t FROM v) SELECT scene, min(v) AS weighted_median FROM c WHERE r >= t / 2 GROUP BY scene")
 def weighted_median(spark, sf_dir):
     return pairs.weighted_median(match_pairs(spark, sf_dir), "confidence", "prec", by="scene")
 
 
-@query("A19 A20 B6", _D + ", m AS (SELECT scene, count(*) AS n, median(dx) AS dx0, median(dy) AS dy0 FROM d GROUP BY scene), e AS (SELECT scene, any_value(n) AS n, any_value(dx0) AS dx, any_value(dy0) AS dy, median(abs(dx - dx0)) + median(abs(dy - dy0)) AS mad FROM d JOIN m USING (scene) GROUP BY scene) SELECT scene, n, round(dx, 6) AS dx, round(dy, 6) AS dy, round(1 / (1 + 1.4826 * mad / sqrt(n)), 9) AS agreement FROM e")
+@query("A19", _D + ", m AS (SELECT scene, count(*) AS n, median(dx) AS dx0, median(dy) AS dy0 FROM d GROUP BY scene), e AS (SELECT scene, any_value(n) AS n, any_value(dx0) AS dx, any_value(dy0) AS dy, median(abs(dx - dx0)) + median(abs(dy - dy0)) AS mad FROM d JOIN m USING (scene) GROUP BY scene) SELECT scene, n, round(dx, 6) AS dx, round(dy, 6) AS dy, round(1 / (1 + 1.4826 * mad / sqrt(n)), 9) AS agreement FROM e")
 def translation_estimate(spark, sf_dir):
     return _rounded(_rounded(pairs.translation(match_pairs(spark, sf_dir)), "dx", "dy"), "agreement", digits=9)
 
@@ -141,7 +141,7 @@ def gcp_coverage(spark, sf_dir):
     return pairs.coverage(match_pairs(spark, sf_dir))
 
 
-@query("O16 B58", f"WITH {PAIRS}, r AS (SELECT id, scene, is_anchor, count(*) FILTER (WHERE NOT is_anchor) OVER (PARTITION BY scene) AS n, row_number() OVER (PARTITION BY scene, is_anchor ORDER BY md5(id), id) AS k FROM pairs) SELECT id, scene, NOT is_anchor AND n >= 12 AND k <= least(greatest(4, round_even(n * 0.2, 0)), greatest(0, n - 6)) AS holdout FROM r")
+@query("O16", f"WITH {PAIRS}, r AS (SELECT id, scene, is_anchor, count(*) FILTER (WHERE NOT is_anchor) OVER (PARTITION BY scene) AS n, row_number() OVER (PARTITION BY scene, is_anchor ORDER BY md5(id), id) AS k FROM pairs) SELECT id, scene, NOT is_anchor AND n >= 12 AND k <= least(greatest(4, round_even(n * 0.2, 0)), greatest(0, n - 6)) AS holdout FROM r")
 def holdout_split(spark, sf_dir):
     return pairs.holdout(match_pairs(spark, sf_dir)).select("id", "scene", "holdout")
 
@@ -161,7 +161,7 @@ def boundary_inverse(spark, sf_dir):
 
 
 @query(
-    "G7 G8 A32",
+    "G8",
     _D
     + """, s AS (SELECT scene, median(dx) AS dx, median(dy) AS dy, greatest(stddev_pop(dx), stddev_pop(dy)) AS std, median(confidence) AS conf FROM d WHERE is_anchor GROUP BY scene),
 p AS (SELECT scene, avg(dx) AS px, avg(dy) AS py FROM d WHERE NOT is_anchor GROUP BY scene)
@@ -191,13 +191,13 @@ def spatial_dedup(spark, sf_dir):
     return iterative.spatial_dedup(match_pairs(spark, sf_dir)).select("id", "scene")
 
 
-@query("G4 G23")
+@query("G4")
 def iterative_outlier_removal(spark, sf_dir):
     rows = match_pairs(spark, sf_dir).filter("is_anchor")
     return iterative.outlier_removal(rows).select("id", "scene", "residual")
 
 
-@query("G1 G2 G3 O12")
+@query("G1 G3")
 def ransac_affine(spark, sf_dir):
     return iterative.ransac_affine(match_pairs(spark, sf_dir).filter("is_anchor"))
 
@@ -207,7 +207,7 @@ def cross_validation(spark, sf_dir):
     return iterative.cross_validate(match_pairs(spark, sf_dir).filter("is_anchor"))
 
 
-@query("G9 G11 O5")
+@query("O5")
 def gcp_selection(spark, sf_dir):
     return iterative.select_gcps(match_pairs(spark, sf_dir).filter("is_anchor")).select("id", "scene")
 

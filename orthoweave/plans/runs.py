@@ -11,7 +11,7 @@ from orthoweave.sources.roles import SCENES, TELEMETRY, scenes, table, telemetry
 _T = f"WITH {TELEMETRY}"
 
 
-@query("W7 W9 S35 S36", _T + " SELECT scene, arg_min(seq, (residual_m, seq)) AS best FROM telemetry WHERE accepted AND residual_m IS NOT NULL GROUP BY scene")
+@query("W7", _T + " SELECT scene, arg_min(seq, (residual_m, seq)) AS best FROM telemetry WHERE accepted AND residual_m IS NOT NULL GROUP BY scene")
 def best_version(spark, sf_dir):
     return runs.best_version(telemetry(spark, sf_dir).filter("accepted"), by="scene", version="seq", field="residual_m")
 
@@ -32,7 +32,7 @@ def run_retention(spark, sf_dir):
     return runs.retained(telemetry(spark, sf_dir), by="scene", version="seq", score="residual_m").select("scene", "seq")
 
 
-@query("K4 K3 B140 B156", _T + " SELECT scene, stage, arg_max(accepted, seq) AS accepted, arg_max(residual_m, seq) AS residual_m FROM telemetry GROUP BY ALL")
+@query("K4 B156", _T + " SELECT scene, stage, arg_max(accepted, seq) AS accepted, arg_max(residual_m, seq) AS residual_m FROM telemetry GROUP BY ALL")
 def latest_status(spark, sf_dir):
     return runs.latest(telemetry(spark, sf_dir), by=["scene", "stage"], seq="seq", value=["accepted", "residual_m"])
 
@@ -42,7 +42,7 @@ def status_rollup(spark, sf_dir):
     return runs.status_rollup(telemetry(spark, sf_dir), stage="stage", status="accepted")
 
 
-@query("K12 W11 B67", _T + ", p AS (SELECT 'run' AS section, residual_m AS v FROM telemetry UNION ALL SELECT 'run.' || stage, residual_m FROM telemetry UNION ALL SELECT 'run.' || stage || '.s' || scene % 10, residual_m FROM telemetry) SELECT section, round(sum(v), 4) AS total, count(*) AS n FROM p GROUP BY section")
+@query("K12", _T + ", p AS (SELECT 'run' AS section, residual_m AS v FROM telemetry UNION ALL SELECT 'run.' || stage, residual_m FROM telemetry UNION ALL SELECT 'run.' || stage || '.s' || scene % 10, residual_m FROM telemetry) SELECT section, round(sum(v), 4) AS total, count(*) AS n FROM p GROUP BY section")
 def section_rollup(spark, sf_dir):
     rows = telemetry(spark, sf_dir).select(F.concat_ws(".", F.lit("run"), "stage", F.concat(F.lit("s"), F.col("scene") % 10)).alias("path"), "residual_m")
     return runs.section_rollup(rows, path="path", value="residual_m").withColumn("total", F.round("total", 4))
@@ -55,12 +55,12 @@ def _reports(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("job"), F.concat(F.lit("c"), "l_linenumber").alias("candidate")).agg(F.bool_or(F.col("l_returnflag") != "R").alias("accepted"), F.max(F.col("l_extendedprice") / 100).alias("total_score"), F.max(F.col("l_discount") * 10).alias("confidence"))
 
 
-@query("O1 O2 O13 B65", f"WITH {_REPORTS} SELECT job, candidate, accepted, total_score, confidence FROM (SELECT *, row_number() OVER (PARTITION BY job ORDER BY accepted DESC, total_score, confidence DESC, candidate) AS k FROM rep) WHERE k = 1")
+@query("O1 O2 O13", f"WITH {_REPORTS} SELECT job, candidate, accepted, total_score, confidence FROM (SELECT *, row_number() OVER (PARTITION BY job ORDER BY accepted DESC, total_score, confidence DESC, candidate) AS k FROM rep) WHERE k = 1")
 def ranked_candidates(spark, sf_dir):
     return quality.best_candidate(_reports(spark, sf_dir), by="job")
 
 
-@query("P25 P26 B155 B66", f"WITH {_REPORTS}, a AS (SELECT job, coalesce(bool_or(accepted) FILTER (candidate = 'c1'), bool_or(accepted)) AS accepted, max(confidence) AS confidence FROM rep GROUP BY job) SELECT job, accepted, NOT accepted OR confidence < 0.35 AS abstains FROM a")
+@query("P25 P26", f"WITH {_REPORTS}, a AS (SELECT job, coalesce(bool_or(accepted) FILTER (candidate = 'c1'), bool_or(accepted)) AS accepted, max(confidence) AS confidence FROM rep GROUP BY job) SELECT job, accepted, NOT accepted OR confidence < 0.35 AS abstains FROM a")
 def output_accepted(spark, sf_dir):
     rows = _reports(spark, sf_dir).withColumn("selected", F.lit("c1"))
     conf = rows.groupBy("job").agg(F.max("confidence").alias("confidence"))
@@ -68,14 +68,14 @@ def output_accepted(spark, sf_dir):
     return got.select("job", "accepted", quality.abstains(F.col("accepted"), F.col("confidence")).alias("abstains"))
 
 
-@query("A7 B104 B105", f"WITH {SCENES}, q AS (SELECT l_orderkey AS entity_id, bool_or(l_returnflag = 'R') AS ok FROM lineitem GROUP BY ALL) SELECT mission, designation, string_agg(CAST(entity_id AS VARCHAR), ',' ORDER BY entity_id) AS members, count(*) AS n FROM scenes JOIN q USING (entity_id) WHERE ok GROUP BY ALL")
+@query("A7", f"WITH {SCENES}, q AS (SELECT l_orderkey AS entity_id, bool_or(l_returnflag = 'R') AS ok FROM lineitem GROUP BY ALL) SELECT mission, designation, string_agg(CAST(entity_id AS VARCHAR), ',' ORDER BY entity_id) AS members, count(*) AS n FROM scenes JOIN q USING (entity_id) WHERE ok GROUP BY ALL")
 def mosaic_groups(spark, sf_dir):
     qa = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("entity_id"), (F.col("l_returnflag") == "R").alias("accepted"))
     got = runs.mosaic_groups(scenes(spark, sf_dir), qa, by=["mission", "designation"])
     return got.withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
 
 
-@query("O14 B25 B159", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'ortho' WHEN p_size % 3 = 0 THEN 'georef' ELSE 'stitched' END AS source, 'f' || p_size AS path FROM part")
+@query("O14", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'ortho' WHEN p_size % 3 = 0 THEN 'georef' ELSE 'stitched' END AS source, 'f' || p_size AS path FROM part")
 def preferred_input(spark, sf_dir):
     s, path = F.col("p_size"), F.concat(F.lit("f"), "p_size")
     got = runs.preferred(ortho=F.when(s % 2 == 0, path), georef=F.when(s % 3 == 0, path), stitched=path)
@@ -88,13 +88,13 @@ def interleaved_tiles(spark, sf_dir):
     return got.select("p_partkey", F.col("round").cast("long").alias("round"), "first")
 
 
-@query("B163 F50", "WITH n AS (SELECT p_brand, count(*) AS n FROM part GROUP BY ALL), t AS (SELECT sum(n) AS a, count(*) AS k FROM n) SELECT p_partkey, round(a::DOUBLE / k / n, 9) AS weight FROM part JOIN n USING (p_brand), t")
+@query("B163", "WITH n AS (SELECT p_brand, count(*) AS n FROM part GROUP BY ALL), t AS (SELECT sum(n) AS a, count(*) AS k FROM n) SELECT p_partkey, round(a::DOUBLE / k / n, 9) AS weight FROM part JOIN n USING (p_brand), t")
 def sampling_weights(spark, sf_dir):
     got = runs.sampling_weights(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), source="p_brand")
     return got.select("p_partkey", F.round("weight", 9).alias("weight"))
 
 
-@query("J15 B133 B134 B162 P14", "WITH l AS (SELECT n_name AS slug, 1960 + n_nationkey % 12 AS year, CASE WHEN n_nationkey % 5 = 0 THEN 'modern' ELSE 'kh' END AS kind FROM nation) SELECT a.slug AS older, b.slug AS newer FROM l a JOIN l b ON (a.kind = 'kh' AND b.kind = 'modern') OR (a.kind = 'kh' AND b.kind = 'kh' AND (a.year < b.year OR (a.year = b.year AND a.slug < b.slug)))")
+@query("J15 B162", "WITH l AS (SELECT n_name AS slug, 1960 + n_nationkey % 12 AS year, CASE WHEN n_nationkey % 5 = 0 THEN 'modern' ELSE 'kh' END AS kind FROM nation) SELECT a.slug AS older, b.slug AS newer FROM l a JOIN l b ON (a.kind = 'kh' AND b.kind = 'modern') OR (a.kind = 'kh' AND b.kind = 'kh' AND (a.year < b.year OR (a.year = b.year AND a.slug < b.slug)))")
 def layer_pairs(spark, sf_dir):
     k = F.col("n_nationkey")
     rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("slug"), (k % 12 + 1960).alias("year"), F.when(k % 5 == 0, "modern").otherwise("kh").alias("kind"))
@@ -127,7 +127,7 @@ def candidate_report(spark, sf_dir):
 
 
 @query(
-    "A26 B157 B68",
+    "A26 B157",
     f"""WITH {_QA}, w AS (SELECT *, least(1.0, cov / 0.25::DOUBLE) AS sh, CASE WHEN cv IS NULL THEN 1.0 ELSE greatest(0.3, 1 - 0.06 * greatest(0.0, cv / 4 - 5)) END::DOUBLE AS era FROM q),
 g AS (SELECT *, 0.55::DOUBLE * sh AS gw, CASE WHEN cov > 0 THEN 0.25 + 0.55::DOUBLE * (1 - sh) ELSE 0.8 END AS pw FROM w)
 SELECT k, round((gw - gw * (1 - era)) * coalesce(img, 500) + (pw + gw * (1 - era)) * 50 + coalesce(least(18, hm * 18 / 50) * least(1, greatest(0, (k % 300 - 50) / 150.0::DOUBLE)), 0) + coalesce(least(12, hp * 12 / 50) * least(1, greatest(0, (k % 500 - 50) / 150.0::DOUBLE)), 0), 6) AS score FROM g""",
@@ -145,7 +145,7 @@ def better_affine(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), quality.better_affine(a, ma, b, mb).alias("better"), quality.neural_gate(a, mb / 50).alias("gate"))
 
 
-@query("P28 B30", _T + ", p AS (SELECT scene, seq % 100 AS x, seq * 7 % 100 AS y FROM telemetry) SELECT scene, count(*) AS n, count(DISTINCT least(5, floor(x / 100.0::DOUBLE * 6))) AS bins, count(*) >= 8 AND max(x) - min(x) >= 45 AND max(y) - min(y) >= 18 AND count(DISTINCT least(5, floor(x / 100.0::DOUBLE * 6))) >= 4 AS observable FROM p GROUP BY scene")
+@query("P28", _T + ", p AS (SELECT scene, seq % 100 AS x, seq * 7 % 100 AS y FROM telemetry) SELECT scene, count(*) AS n, count(DISTINCT least(5, floor(x / 100.0::DOUBLE * 6))) AS bins, count(*) >= 8 AND max(x) - min(x) >= 45 AND max(y) - min(y) >= 18 AND count(DISTINCT least(5, floor(x / 100.0::DOUBLE * 6))) >= 4 AS observable FROM p GROUP BY scene")
 def observability(spark, sf_dir):
     pts = telemetry(spark, sf_dir).select("scene", (F.col("seq") % 100).alias("x"), (F.col("seq") * 7 % 100).alias("y"))
     return quality.observable(pts, by="scene", width=F.lit(100), height=F.lit(100))

@@ -43,7 +43,7 @@ def strip_groups(spark, sf_dir):
     return got.withColumn("frames", F.array_join(F.col("frames").cast("array<string>"), ","))
 
 
-@query("A2 B138 S28", _S + " SELECT entity_id, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM (SELECT entity_id, unnest([west, east, east, west]) AS lon, unnest([north, north, south, south]) AS lat FROM scenes) GROUP BY entity_id")
+@query("A2 B138", _S + " SELECT entity_id, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM (SELECT entity_id, unnest([west, east, east, west]) AS lon, unnest([north, north, south, south]) AS lat FROM scenes) GROUP BY entity_id")
 def corner_box(spark, sf_dir):
     return scenes.corners(scene_table(spark, sf_dir)).groupBy("entity_id").agg(F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"), F.max("lat").alias("north"))
 
@@ -55,7 +55,7 @@ def prior_bounds_union(spark, sf_dir):
     return rows.groupBy("mission").agg(F.when(one, F.min("west")).alias("west"), F.when(one, F.max("east")).alias("east"), F.count_distinct("crs").alias("n_crs"))
 
 
-@query("J1 J2 J3 J4 B24", _S + ", a AS (SELECT * FROM scenes WHERE entity_id % 50 = 1), b AS (SELECT * FROM scenes WHERE entity_id % 50 = 2) SELECT a.entity_id AS left_id, b.entity_id AS right_id, greatest(a.west, b.west) AS west, greatest(a.south, b.south) AS south, least(a.east, b.east) AS east, least(a.north, b.north) AS north, (least(a.east, b.east) - greatest(a.west, b.west)) * (least(a.north, b.north) - greatest(a.south, b.south)) / ((b.east - b.west) * (b.north - b.south)) AS fraction FROM a JOIN b ON a.west < b.east AND b.west < a.east AND a.south < b.north AND b.south < a.north")
+@query("J1 J3", _S + ", a AS (SELECT * FROM scenes WHERE entity_id % 50 = 1), b AS (SELECT * FROM scenes WHERE entity_id % 50 = 2) SELECT a.entity_id AS left_id, b.entity_id AS right_id, greatest(a.west, b.west) AS west, greatest(a.south, b.south) AS south, least(a.east, b.east) AS east, least(a.north, b.north) AS north, (least(a.east, b.east) - greatest(a.west, b.west)) * (least(a.north, b.north) - greatest(a.south, b.south)) / ((b.east - b.west) * (b.north - b.south)) AS fraction FROM a JOIN b ON a.west < b.east AND b.west < a.east AND a.south < b.north AND b.south < a.north")
 def footprint_overlap(spark, sf_dir):
     """Two missions' worth of footprints: those of two residues of the key."""
     rows = scene_table(spark, sf_dir)
@@ -79,7 +79,7 @@ def mission_coverage_selection(spark, sf_dir):
     return iterative.best_coverage(rows, BOX, by=["mission", "designation"]).select("mission", "designation", "entity_id", "frame", "gain", "coverage")
 
 
-@query("W6 S25 B96", "WITH t AS (SELECT p_partkey AS entity_id, p_brand AS tile, CASE WHEN p_size % 5 <> 0 THEN p_size * 1.5 END AS cloud FROM part) SELECT tile, arg_min(entity_id, (coalesce(cloud, 99.0), entity_id)) AS entity_id FROM t GROUP BY tile")
+@query("W6", "WITH t AS (SELECT p_partkey AS entity_id, p_brand AS tile, CASE WHEN p_size % 5 <> 0 THEN p_size * 1.5 END AS cloud FROM part) SELECT tile, arg_min(entity_id, (coalesce(cloud, 99.0), entity_id)) AS entity_id FROM t GROUP BY tile")
 def best_per_tile(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("entity_id"), F.col("p_brand").alias("tile"), F.when(F.col("p_size") % 5 != 0, F.col("p_size") * 1.5).alias("cloud"))
     return scenes.best_per_tile(rows, tile="tile", score="cloud").select("tile", "entity_id")
@@ -140,7 +140,7 @@ def geographic_aspect(spark, sf_dir):
     return scene_table(spark, sf_dir).select("entity_id", F.when(n - s > 0, F.round((e - w) * F.cos(F.radians((n + s) / 2)) / (n - s), 9)).otherwise(999.0).alias("aspect"))
 
 
-@query("P2 P3 P8 P30 S4", f"WITH {_IDS} SELECT k, CASE WHEN eid LIKE 'DS1%' THEN 'KH-4' WHEN eid LIKE 'DZB%' THEN 'KH-7' WHEN eid LIKE 'D3C%' THEN 'KH-9' END AS camera, CASE WHEN eid LIKE 'D3C%' THEN 'A' WHEN eid LIKE 'DS1%' THEN 'A' WHEN eid LIKE 'DZB%' THEN 'H' WHEN kind <> '' THEN upper(left(kind, 1)) ELSE 'X' END AS designation FROM ids")
+@query("P2 P3 P8", f"WITH {_IDS} SELECT k, CASE WHEN eid LIKE 'DS1%' THEN 'KH-4' WHEN eid LIKE 'DZB%' THEN 'KH-7' WHEN eid LIKE 'D3C%' THEN 'KH-9' END AS camera, CASE WHEN eid LIKE 'D3C%' THEN 'A' WHEN eid LIKE 'DS1%' THEN 'A' WHEN eid LIKE 'DZB%' THEN 'H' WHEN kind <> '' THEN upper(left(kind, 1)) ELSE 'X' END AS designation FROM ids")
 def camera_of_scene(spark, sf_dir):
     return _ids(spark, sf_dir).select("k", entities.camera(F.col("eid")).alias("camera"), entities.designation(F.col("eid"), F.col("kind")).alias("designation"))
 
@@ -150,7 +150,7 @@ def mission_of_scene(spark, sf_dir):
     return _ids(spark, sf_dir).select("k", entities.mission(F.col("eid")).alias("m")).select("k", "m.system", "m.mission_id")
 
 
-@query("P6 P7 P24 B137", f"WITH {_IDS} SELECT k, CASE WHEN regexp_matches(eid, 'DZB004[0-9]+H') THEN 'kh7' WHEN regexp_matches(eid, 'D3C[0-9]{{4}}') THEN 'kh9' WHEN regexp_matches(eid, 'DZB[0-9]+') THEN 'kh9' WHEN eid LIKE 'DS10%' THEN 'kh4a' WHEN eid LIKE 'DS%' THEN 'kh4b' END AS profile FROM ids")
+@query("P6 P7", f"WITH {_IDS} SELECT k, CASE WHEN regexp_matches(eid, 'DZB004[0-9]+H') THEN 'kh7' WHEN regexp_matches(eid, 'D3C[0-9]{{4}}') THEN 'kh9' WHEN regexp_matches(eid, 'DZB[0-9]+') THEN 'kh9' WHEN eid LIKE 'DS10%' THEN 'kh4a' WHEN eid LIKE 'DS%' THEN 'kh4b' END AS profile FROM ids")
 def profile_of_file(spark, sf_dir):
     return _ids(spark, sf_dir).select("k", entities.profile(F.concat(F.lit("in/"), "eid", F.lit("_x.tif"))).alias("profile"))
 
@@ -191,7 +191,7 @@ def dem_tiles(spark, sf_dir):
     return rows.select(entities.dem_tile(F.col("lat"), F.col("lon")).alias("tile"))
 
 
-@query("P31 J20", _S + " SELECT entity_id, west >= 50.4 AND south >= 25.4 AND east <= 51.2 AND north <= 26.2 AS covered FROM scenes")
+@query("P31", _S + " SELECT entity_id, west >= 50.4 AND south >= 25.4 AND east <= 51.2 AND north <= 26.2 AS covered FROM scenes")
 def reference_covers(spark, sf_dir):
     w, s, e, n = BOX
     return scene_table(spark, sf_dir).select("entity_id", ((F.col("west") >= w) & (F.col("south") >= s) & (F.col("east") <= e) & (F.col("north") <= n)).alias("covered"))

@@ -19,7 +19,7 @@ def _frames(spark, sf_dir):
 
 
 @query(
-    "J9 J10 F26",
+    "J10",
     _F + ", b AS (SELECT *, max(CASE WHEN done THEN frame END) OVER (PARTITION BY mission, designation ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo, min(CASE WHEN done THEN frame END) OVER (PARTITION BY mission, designation ORDER BY frame ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS hi FROM f) SELECT entity_id, CASE WHEN hi IS NOT NULL THEN lo END AS lower, CASE WHEN lo IS NOT NULL THEN hi END AS upper, CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN round((frame - lo)::DOUBLE / greatest(1, hi - lo), 9) END AS alpha FROM b",
 )
 def bracketing_neighbours(spark, sf_dir):
@@ -28,7 +28,7 @@ def bracketing_neighbours(spark, sf_dir):
 
 
 @query(
-    "J11 B34",
+    "J11",
     _F + """, p AS (SELECT a.mission, a.designation, a.frame, b.frame AS bf, b.cx, b.cy, row_number() OVER (PARTITION BY a.mission, a.designation, a.frame ORDER BY abs(a.frame - b.frame), b.frame) AS k FROM f a JOIN f b ON a.mission = b.mission AND a.designation = b.designation AND a.frame <> b.frame AND b.done),
 x AS (SELECT mission, designation, frame, max(bf) FILTER (k = 1) AS f1, max(bf) FILTER (k = 2) AS f2, max(cx) FILTER (k = 1) AS x1, max(cx) FILTER (k = 2) AS x2, max(cy) FILTER (k = 1) AS y1, max(cy) FILTER (k = 2) AS y2 FROM p WHERE k <= 2 GROUP BY ALL)
 SELECT entity_id, round(CASE WHEN f2 IS NULL THEN x1 ELSE x1 + (x2 - x1) / (f2 - f1) * (f.frame - f1) END, 6) AS x, round(CASE WHEN f2 IS NULL THEN y1 ELSE y1 + (y2 - y1) / (f2 - f1) * (f.frame - f1) END, 6) AS y FROM f LEFT JOIN x USING (mission, designation, frame)""",
@@ -62,28 +62,28 @@ def _matches(spark, sf_dir):
     return rows.groupBy("strip", "i", "j").agg(F.max("overlap").alias("overlap"))
 
 
-@query("O7 O10 B121", f"WITH {_M} SELECT strip, i, j, overlap FROM (SELECT *, row_number() OVER (PARTITION BY strip, j ORDER BY overlap DESC, i) AS c FROM r) WHERE c = 1")
+@query("O7", f"WITH {_M} SELECT strip, i, j, overlap FROM (SELECT *, row_number() OVER (PARTITION BY strip, j ORDER BY overlap DESC, i) AS c FROM r) WHERE c = 1")
 def right_neighbour_graph(spark, sf_dir):
     return strips.right_neighbours(_matches(spark, sf_dir), by="strip")
 
 
-@query("O8 O9 J12 B122", f"WITH RECURSIVE {_M}, s AS (SELECT strip, min(i) AS i FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.strip = r.strip AND q.j = r.i) GROUP BY strip), c AS (SELECT strip, i, 0 AS seq FROM s UNION ALL SELECT c.strip, r.j, c.seq + 1 FROM c JOIN r ON r.strip = c.strip AND r.i = c.i WHERE c.seq < 7) SELECT strip, i, min(seq) AS seq FROM c GROUP BY strip, i")
+@query("O8 O9", f"WITH RECURSIVE {_M}, s AS (SELECT strip, min(i) AS i FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.strip = r.strip AND q.j = r.i) GROUP BY strip), c AS (SELECT strip, i, 0 AS seq FROM s UNION ALL SELECT c.strip, r.j, c.seq + 1 FROM c JOIN r ON r.strip = c.strip AND r.i = c.i WHERE c.seq < 7) SELECT strip, i, min(seq) AS seq FROM c GROUP BY strip, i")
 def frame_chain(spark, sf_dir):
     return strips.chain(strips.right_neighbours(_matches(spark, sf_dir), by="strip"), by="strip", longest=8)
 
 
-@query("B123 B124", "WITH l AS (SELECT l_orderkey AS strip, l_linenumber AS seq, max(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL) SELECT strip, seq, CAST(coalesce(sum(1000 + q - q * 3) OVER (PARTITION BY strip ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS x FROM l")
+@query("B123", "WITH l AS (SELECT l_orderkey AS strip, l_linenumber AS seq, max(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL) SELECT strip, seq, CAST(coalesce(sum(1000 + q - q * 3) OVER (PARTITION BY strip ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS x FROM l")
 def canvas_offsets(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("strip"), F.col("l_linenumber").alias("seq")).agg(F.max(F.col("l_quantity").cast("long")).alias("q"))
     return strips.offsets(rows.select("strip", "seq", (F.col("q") + 1000).alias("width"), (F.col("q") * 3).alias("overlap")), by="strip").select("strip", "seq", "x")
 
 
-@query("A25 B102", "WITH l AS (SELECT l_orderkey AS strip, l_linenumber AS seq, max(CASE WHEN l_returnflag <> 'R' THEN l_quantity - 25.0 END) AS dx FROM lineitem GROUP BY ALL), r AS (SELECT *, sum(coalesce(dx, 0)) OVER (PARTITION BY strip ORDER BY seq) AS run, count(*) OVER (PARTITION BY strip) AS n, row_number() OVER (PARTITION BY strip ORDER BY seq) - 1 AS k FROM l) SELECT strip, seq, run - max(run) FILTER (WHERE k = n // 2) OVER (PARTITION BY strip) AS total FROM r")
+@query("A25", "WITH l AS (SELECT l_orderkey AS strip, l_linenumber AS seq, max(CASE WHEN l_returnflag <> 'R' THEN l_quantity - 25.0 END) AS dx FROM lineitem GROUP BY ALL), r AS (SELECT *, sum(coalesce(dx, 0)) OVER (PARTITION BY strip ORDER BY seq) AS run, count(*) OVER (PARTITION BY strip) AS n, row_number() OVER (PARTITION BY strip ORDER BY seq) - 1 AS k FROM l) SELECT strip, seq, run - max(run) FILTER (WHERE k = n // 2) OVER (PARTITION BY strip) AS total FROM r")
 def chained_corrections(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("strip"), F.col("l_linenumber").alias("seq")).agg(F.max(F.when(F.col("l_returnflag") != "R", F.col("l_quantity") - 25.0)).alias("dx"))
     return strips.chained_shifts(rows, by="strip").select("strip", "seq", "total")
 
 
-@query("W10 B125", "WITH e AS (SELECT user_id, event_id, CASE WHEN event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) > 200 THEN 1 ELSE 0 END AS nw FROM events), i AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e) SELECT user_id, CAST(island AS BIGINT) AS island, count(*) AS n, median(event_id) AS median FROM i GROUP BY ALL")
+@query("W10", "WITH e AS (SELECT user_id, event_id, CASE WHEN event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) > 200 THEN 1 ELSE 0 END AS nw FROM events), i AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e) SELECT user_id, CAST(island AS BIGINT) AS island, count(*) AS n, median(event_id) AS median FROM i GROUP BY ALL")
 def seam_clusters(spark, sf_dir):
     return strips.islands(table(spark, sf_dir, "events").select("user_id", "event_id"), by="user_id", at="event_id", gap=200)
