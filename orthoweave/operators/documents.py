@@ -120,3 +120,19 @@ def profile(name: str, profiles: dict[str, dict], *, known: dict[str, set[str]]
         if known is not None and (section not in known or set(values) - known[section]):
             raise ValueError(f"unknown setting in {section}: {json.dumps(values)}")
     return got
+
+
+def camera_fields(text: Column) -> Column:
+    """map of the ``key = value`` lines of a camera's text file."""
+    return F.map_from_arrays(F.regexp_extract_all(text, F.lit(r"(?m)^\s*(\w+)\s*=\s*(.*?)\s*$"), F.lit(1)), F.regexp_extract_all(text, F.lit(r"(?m)^\s*(\w+)\s*=\s*(.*?)\s*$"), F.lit(2)))
+
+
+def camera_text(**fields: Column) -> Column:
+    """A camera's text file of ``key = value`` lines."""
+    return F.concat_ws("\n", F.lit("VERSION_4"), *[F.concat(F.lit(f"{k} = "), v.cast("string")) for k, v in fields.items()])
+
+
+def asset_urls(item: Column, bands: list[str]) -> Column:
+    """The bands' addresses of a catalogue item, or null if one is missing."""
+    urls = F.array(*[F.get_json_object(item, f"$.assets.{b}.href") for b in bands])
+    return F.when(~F.exists(urls, lambda u: u.isNull()), F.transform(urls, lambda u: F.concat(F.lit("/vsicurl/"), u)))

@@ -239,3 +239,52 @@ def chamfer(pairs: DataFrame, *, soft_m: float = 500.0, slope: float = 0.3, cell
 
     there, back = one_way(off, ref), one_way(ref, off).withColumnRenamed("m", "b")
     return there.join(back, "scene").select("scene", ((F.col("m") + F.col("b")) / 2).alias("chamfer_m"))
+
+
+def initial_affine(pairs: DataFrame) -> DataFrame:
+    """First fit of each scene: by its anchors if there are four or more, else by anchors and automatic pairs at 50 to 1."""
+    anchors = F.count_if("is_anchor").over(W.partitionBy("scene"))
+    rows = pairs.withColumn("anchors", anchors).filter(F.col("is_anchor") | (F.col("anchors") < 4))
+    return fit_affine(rows, F.when(F.col("is_anchor") & (F.col("anchors") < 4), 50.0).otherwise(1.0))
+
+
+def quality_gate(pairs: DataFrame, *, most_m: float = 50.0) -> DataFrame:
+    """Pairs of the scenes whose automatic pairs fit an affine with a mean residual below a limit; of others the anchors."""
+    auto = pairs.filter(~F.col("is_anchor"))
+    mean = residual_stats(residuals(auto, fit_affine(auto))).select("scene", F.col("mean_m").alias("m"))
+    return pairs.join(mean, "scene", "left").filter(F.col("is_anchor") | (F.col("m") < most_m)).select(*pairs.columns)
+
+
+def fit_or_shift(pairs: DataFrame) -> DataFrame:
+    """The affine of each scene, or where its points determine none the median displacement as one."""
+    mid = displaced(pairs).groupBy("scene").agg(median(F.col("dx")).alias("mx"), median(F.col("dy")).alias("my"))
+    det = F.col("a") * F.col("d") - F.col("b") * F.col("c")
+    bad = (F.col("status") == "degenerate") | (F.abs(det) < 1e-9)
+    pick = lambda name, v: F.when(bad, v).otherwise(F.col(name)).alias(name)
+    rows = fit_affine(pairs).join(mid, "scene")
+    return rows.select("scene", "n", pick("a", F.lit(1.0)), pick("b", F.lit(0.0)), pick("tx", -F.col("mx")), pick("c", F.lit(0.0)), pick("d", F.lit(1.0)), pick("ty", -F.col("my")), F.when(bad, "translation").otherwise("affine").alias("kind"))
+
+
+def correct_reference_offset(pairs: DataFrame, *, least_m: float = 20.0, most_mean_m: float = 50.0) -> DataFrame:
+    """pairs whose automatic reference points are moved as the scene's anchors ask, by an affine of the anchors' shifts.
+
+    Left as they are: scenes with fewer than three anchors or six automatic pairs, with a median shift below least_m, with
+    fewer than three anchors near a first fit, or with a last fit of more than three anchors that misses by more on average.
+    """
+    auto, anchors = pairs.filter(~F.col("is_anchor")), pairs.filter("is_anchor")
+    n = pairs.groupBy("scene").agg(F.count_if("is_anchor").alias("na"), F.count_if(~F.col("is_anchor")).alias("nb")).filter("na >= 3 and nb >= 6").select("scene")
+    m = fit_affine(auto.join(n, "scene", "left_semi"))
+    at = anchors.join(m.select("scene", "a", "b", "tx", "c", "d", "ty"), "scene")
+    px, py = F.col("a") * F.col("off_x") + F.col("b") * F.col("off_y") + F.col("tx"), F.col("c") * F.col("off_x") + F.col("d") * F.col("off_y") + F.col("ty")
+    shift = at.select("scene", "id", "off_x", "off_y", (F.col("ref_x") - px).alias("ref_x"), (F.col("ref_y") - py).alias("ref_y"))
+    mid = shift.groupBy("scene").agg(median(F.col("ref_x")).alias("mx"), median(F.col("ref_y")).alias("my"))
+    first = residuals(shift, fit_affine(shift))
+    limit = first.groupBy("scene").agg(F.greatest(median(F.col("residual")) * 3, F.lit(50.0)).alias("limit"))
+    near = first.join(limit, "scene").filter("residual < limit").select("scene", "id", "off_x", "off_y", "ref_x", "ref_y")
+    last = fit_affine(near)
+    miss = residual_stats(residuals(near, last)).select("scene", "count", "mean_m")
+    good = last.filter("status = 'ok'").join(miss, "scene").join(mid, "scene").filter((F.sqrt(F.col("mx") * F.col("mx") + F.col("my") * F.col("my")) >= least_m) & (F.col("count") >= 3) & ((F.col("count") <= 3) | (F.col("mean_m") <= most_mean_m)))
+    rows = pairs.join(good.select("scene", "a", "b", "tx", "c", "d", "ty"), "scene", "left")
+    moves = ~F.col("is_anchor") & F.col("a").isNotNull()
+    new = {"ref_x": F.when(moves, F.col("ref_x") + px).otherwise(F.col("ref_x")), "ref_y": F.when(moves, F.col("ref_y") + py).otherwise(F.col("ref_y"))}
+    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in pairs.columns], F.col("a").isNotNull().alias("corrected"))

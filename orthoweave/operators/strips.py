@@ -95,3 +95,21 @@ def islands(rows: DataFrame, *, by: str, at: str, gap: float) -> DataFrame:
     new = F.when(F.col(at) - F.lag(at).over(order) > gap, 1).otherwise(0)
     marked = rows.withColumn("new", new).withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
     return marked.groupBy(by, "island").agg(F.count("*").alias("n"), F.percentile(at, F.lit(0.5)).alias("median"))
+
+
+def two_frame_order(n_ab, n_ba, overlap_ab, overlap_ba):
+    """Whether two frames are to be swapped: by a fifth more matches, ten at least, else by the larger overlap."""
+    return F.when((n_ba > n_ab * 1.2) & (n_ba >= 10), True).when((n_ab >= n_ba * 1.2) & (n_ab >= 10), False).otherwise((overlap_ba > overlap_ab) & (overlap_ba > 0))
+
+
+def reversed_strips(matches: DataFrame, *, by: str, margin: float = 1.05) -> DataFrame:
+    """by, forward, backward, reverse: overlaps summed along a strip both ways; the reverse wins only by a margin."""
+    way = lambda step: F.coalesce(F.sum(F.when(F.col("j") - F.col("i") == step, F.col("overlap"))), F.lit(0))
+    got = matches.groupBy(by).agg(way(1).alias("forward"), way(-1).alias("backward"))
+    return got.withColumn("reverse", F.col("backward") > F.col("forward") * margin)
+
+
+def validated_siblings(frames: DataFrame, *, by: list[str], done: str) -> DataFrame:
+    """entity_id, siblings: how many other frames of its strip are validated."""
+    n = F.count_if(done).over(W.partitionBy(*by))
+    return frames.select("entity_id", (n - F.col(done).cast("long")).alias("siblings"))

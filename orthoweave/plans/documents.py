@@ -106,3 +106,18 @@ def path_lists(spark, sf_dir):
     s = F.col("p_size") % 3
     text = F.when(s == 0, F.to_json(F.array("p_brand", "p_name"))).when(s == 1, F.col("p_name")).otherwise("")
     return table(spark, sf_dir, "part").select("p_partkey", F.size(documents.path_list(text)).alias("n"))
+
+
+@query("F27 B85", "SELECT p_partkey, p_retailprice AS focal, p_size AS pitch, p_brand AS name FROM part")
+def camera_file(spark, sf_dir):
+    text = documents.camera_text(f=F.col("p_retailprice"), pitch=F.col("p_size"), camera=F.col("p_brand"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", documents.camera_fields(text).alias("m"))
+    return rows.select("p_partkey", F.col("m")["f"].cast("double").alias("focal"), F.col("m")["pitch"].cast("int").alias("pitch"), F.col("m")["camera"].alias("name"))
+
+
+@query("B95", "SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN '/vsicurl/r' || p_partkey || ',/vsicurl/g' || p_partkey END AS urls FROM part")
+def asset_urls(spark, sf_dir):
+    k = F.col("p_partkey")
+    href = lambda c: F.struct(F.concat(F.lit(c), k).alias("href"))
+    item = F.to_json(F.struct(F.struct(href("r").alias("red"), F.when(F.col("p_size") % 3 != 0, href("g")).alias("green")).alias("assets")))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(documents.asset_urls(item, ["red", "green"]), ",").alias("urls"))

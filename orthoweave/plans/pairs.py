@@ -215,3 +215,34 @@ def gcp_selection(spark, sf_dir):
 @query("G12 G13 B15 B16")
 def triangle_area_ratio(spark, sf_dir):
     return iterative.triangle_filter(match_pairs(spark, sf_dir).filter("is_anchor AND confidence > 0.9")).select("id", "scene", "ratio")
+
+
+@query("G7")
+def reference_offset_correction(spark, sf_dir):
+    """Anchors are given a shift of their own, which the automatic pairs must follow."""
+    rows = match_pairs(spark, sf_dir)
+    rows = rows.withColumn("ref_x", F.col("ref_x") + F.when(F.col("is_anchor"), 120.0).otherwise(0.0))
+    got = pairs.correct_reference_offset(rows)
+    return got.groupBy("scene", "corrected").agg(F.count("*").alias("n"), F.round(F.avg("ref_x"), 3).alias("mean_x"))
+
+
+_PLAIN = _FIT.replace("prec", "1.0::DOUBLE")
+
+
+@query("G24", f"WITH {PAIRS}, auto AS (SELECT * FROM pairs WHERE NOT is_anchor)" + _PLAIN.format(t="auto") + f", r AS ({_RES.format(t='auto')}), m AS (SELECT scene, avg(r) AS m FROM r GROUP BY scene) SELECT scene, count(*) AS n FROM pairs LEFT JOIN m USING (scene) WHERE is_anchor OR m < 10 GROUP BY scene")
+def neural_quality_gate(spark, sf_dir):
+    return pairs.quality_gate(match_pairs(spark, sf_dir), most_m=10.0).groupBy("scene").agg(F.count("*").alias("n"))
+
+
+@query("G9", f"WITH {PAIRS}, anc AS (SELECT * FROM pairs WHERE is_anchor)" + _PLAIN.format(t="anc") + " SELECT scene, n, round(a, 6) AS a, round(ty, 3) AS ty FROM fit")
+def initial_affine(spark, sf_dir):
+    """Every scene of these pairs has four anchors or more."""
+    return pairs.initial_affine(match_pairs(spark, sf_dir)).select("scene", "n", F.round("a", 6).alias("a"), F.round("ty", 3).alias("ty"))
+
+
+@query("G27", f"WITH {PAIRS}, one AS (SELECT scene || '-' || ref_y AS scene, ref_x, ref_y, off_x, off_y FROM pairs WHERE is_anchor AND confidence > 0.95) SELECT scene, count(*) AS n, round(-median(off_x - ref_x), 6) + 0.0 AS tx, round(-median(off_y - ref_y), 6) + 0.0 AS ty FROM one GROUP BY scene HAVING count(*) < 3")
+def translation_where_degenerate(spark, sf_dir):
+    """Groups of one or two points have no affine."""
+    rows = match_pairs(spark, sf_dir).filter("is_anchor and confidence > 0.95").withColumn("scene", F.concat_ws("-", "scene", F.col("ref_y").cast("string")))
+    got = pairs.fit_or_shift(rows).filter("kind = 'translation' and n < 3")
+    return got.select("scene", "n", (F.round("tx", 6) + 0.0).alias("tx"), (F.round("ty", 6) + 0.0).alias("ty"))

@@ -149,3 +149,9 @@ def better_affine(spark, sf_dir):
 def observability(spark, sf_dir):
     pts = telemetry(spark, sf_dir).select("scene", (F.col("seq") % 100).alias("x"), (F.col("seq") * 7 % 100).alias("y"))
     return quality.observable(pts, by="scene", width=F.lit(100), height=F.lit(100))
+
+
+@query("B133 B134", "SELECT n_name AS slug FROM nation WHERE n_nationkey % 5 <> 0 AND n_name >= 'G'")
+def layers_of_a_kind(spark, sf_dir):
+    kind = F.when(F.col("n_nationkey") % 5 == 0, "modern").otherwise("kh")
+    return table(spark, sf_dir, "nation").filter((kind == "kh") & (F.col("n_name") >= "G")).select(F.col("n_name").alias("slug"))

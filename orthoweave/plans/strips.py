@@ -87,3 +87,20 @@ def chained_corrections(spark, sf_dir):
 @query("W10", "WITH e AS (SELECT user_id, event_id, CASE WHEN event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) > 200 THEN 1 ELSE 0 END AS nw FROM events), i AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e) SELECT user_id, CAST(island AS BIGINT) AS island, count(*) AS n, median(event_id) AS median FROM i GROUP BY ALL")
 def seam_clusters(spark, sf_dir):
     return strips.islands(table(spark, sf_dir, "events").select("user_id", "event_id"), by="user_id", at="event_id", gap=200)
+
+
+@query("O10 B121", "WITH f AS (SELECT p_partkey AS k, p_size AS ab, p_partkey % 50 AS ba, p_size % 7 AS oab, p_partkey % 9 AS oba FROM part) SELECT k, CASE WHEN ba > ab * 1.2 AND ba >= 10 THEN true WHEN ab >= ba * 1.2 AND ab >= 10 THEN false ELSE oba > oab AND oba > 0 END AS swap FROM f")
+def two_frame_order(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    return table(spark, sf_dir, "part").select(k.alias("k"), strips.two_frame_order(s, k % 50, s % 7, k % 9).alias("swap"))
+
+
+@query("B122", f"WITH {_M}, w AS (SELECT strip, coalesce(sum(overlap) FILTER (j - i = 1), 0)::BIGINT AS forward, coalesce(sum(overlap) FILTER (j - i = -1), 0)::BIGINT AS backward FROM (SELECT l_orderkey AS strip, l_linenumber AS i, l_suppkey % 7 + 1 AS j, max(CAST(l_quantity AS BIGINT)) AS overlap FROM lineitem GROUP BY ALL) GROUP BY strip) SELECT *, backward > forward * 1.05 AS reverse FROM w")
+def reversed_strips(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("strip"), F.col("l_linenumber").alias("i"), (F.col("l_suppkey") % 7 + 1).alias("j")).agg(F.max(F.col("l_quantity").cast("long")).alias("overlap"))
+    return strips.reversed_strips(rows, by="strip")
+
+
+@query("J9", _F + " SELECT entity_id, count(*) FILTER (done) OVER (PARTITION BY mission, designation) - CAST(done AS BIGINT) AS siblings FROM f")
+def validated_siblings(spark, sf_dir):
+    return strips.validated_siblings(_frames(spark, sf_dir), by=BY, done="done")
