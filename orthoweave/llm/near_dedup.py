@@ -3,13 +3,12 @@
 Documents are sets of word shingles. In each of TREES independent trees a document follows the path of its minwise
 tokens; a node branches until it holds LEAF documents at most. The documents of a small node are compared exhaustively
 by sketches of their minhashes; likely pairs form clusters, whose spanning links are confirmed on full sets. Clusters
-that then still lie in several components have their other pairs confirmed too, so no link that a tree has brought
-together is lost, while a large group of copies takes about one comparison a document and tree.
+that then still lie in several components have every pair between components confirmed too, so no link that a tree has
+brought together is lost, while a large group of copies takes about one comparison a document and tree.
 
 A pair at the limit of 0.8 follows one path to depth d with probability 0.8^d in each of 16 trees: it is missed with
 probability 8e-8 at depth 2 and 2e-4 at depth 4. The sketch drops it with probability 1e-7. Equal sets are put together
-beforehand. A node that no level splits is dealt out in blocks by a hash, and what its largest component leaves over is
-compared with all of that component and with one another, on full sets, block by block.
+beforehand. A node that no level splits is dealt out in blocks by a hash, and counts as one cluster afterwards.
 
 Cases: null text and text without a word: an empty set, linked with nothing; fewer words than a shingle: the words as one
 shingle; rows of one doc_id are one document; rows with a null doc_id are compared as well, and their group has the
@@ -271,26 +270,16 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     links = _links(clusters.select("a", "b").distinct(), plain, shingle, percent)
     label = materialize(components(links), "components1")
 
-    # Where a cluster still lies in several components, every pair between them is confirmed.
-    inside = clusters.select("node", "first", F.explode(F.array("a", "b")).alias("rep")).distinct()
+    # A cluster or an unsplit node that still lies in several components: what its largest one leaves over meets, on full
+    # sets and block by block, all of that component and all else that is left over beside it.
+    inside = clusters.select("node", "first", F.explode(F.array("a", "b")).alias("rep")).distinct().unionByName(unsplit.select("node", F.col("node").alias("first"), "rep"))
     inside = inside.join(label, inside["rep"] == label["node"], "left").select(inside["node"], "first", "rep", F.coalesce("component", "rep").alias("label"))
     inside = materialize(inside, "inside")
-    mixed = inside.groupBy("node", "first").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select(F.col("node").alias("mn"), F.col("first").alias("mf"))
-    open_ = materialize(inside.join(mixed, (inside["node"] == mixed["mn"]) & (inside["first"] == mixed["mf"])).drop("mn", "mf"), "open")
-    other = open_.select(F.col("node").alias("on"), F.col("first").alias("of"), F.col("rep").alias("b"), F.col("label").alias("lb"))
-    more = open_.join(other, (open_["node"] == other["on"]) & (open_["first"] == other["of"]) & (open_["label"] < other["lb"])).select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
-
-    more = materialize(more.distinct(), "more")
-    new = None if more.isEmpty() else _links(more, plain, shingle, percent)
-
-    # An unsplit node: what its largest component leaves over meets all of that component and of what is left over.
-    held = unsplit.join(label, unsplit["rep"] == label["node"], "left").select(unsplit["node"], "rep", "size", F.coalesce("component", "rep").alias("label"))
-    held = materialize(held, "unsplit")
-    if not held.isEmpty():
-        top = held.groupBy("node", "size", "label").agg(F.count("*").alias("c")).groupBy("node", "size").agg(F.max(F.struct("c", "label")).alias("top"))
-        over = materialize(top.filter(F.col("top.c") < F.col("size")).select(F.col("node").alias("on"), F.col("top.label").alias("main")), "over")
-        rest = held.join(over, held["node"] == over["on"]).filter("label <> main").select("main", "rep", "label").distinct()
-        rest = materialize(rest, "rest")
+    top = inside.groupBy("node", "first", "label").agg(F.count("*").alias("c")).groupBy("node", "first").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels"))
+    over = materialize(top.filter("labels > 1").select(F.col("node").alias("on"), F.col("first").alias("of"), F.col("top.label").alias("main")), "over")
+    rest = inside.join(over, (inside["node"] == over["on"]) & (inside["first"] == over["of"])).filter("label <> main").select("main", "rep", "label").distinct()
+    rest = materialize(rest, "rest")
+    if not rest.isEmpty():
         mains = materialize(rest.select(F.col("main").alias("c")).distinct(), "mains")
         full = label.join(mains, label["component"] == mains["c"], "left_semi").select(F.col("component").alias("main"), F.col("node").alias("rep"))
         full = full.unionByName(mains.select(F.col("c").alias("main"), F.col("c").alias("rep"))).distinct().withColumn("label", F.col("main"))
@@ -305,9 +294,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         grid = asks.unionByName(answers).select(F.xxhash64("main", "i", "j").alias("node"), "rep", "label", "rest")
         grid = grid.join(sets, grid["rep"] == sets["uid"]).select("node", "rep", "label", "rest", "set")
         across = materialize(grid.repartition("node").sortWithinPartitions("node").mapInArrow(_across(percent), "a long, b long").distinct(), "across")
-        new = across if new is None else new.unionByName(across)
-    if new is not None:
-        label = materialize(components(links.unionByName(new)), "components2")
+        label = materialize(components(links.unionByName(across)), "components2")
 
     got = member.join(label, member["rep"] == label["node"], "left")
     component = F.coalesce("component", "rep", "uid")
