@@ -100,4 +100,39 @@ SELECT conv_id, perspective, position, turn, speaker, segment, speaker = perspec
   CAST(st + length(head) AS BIGINT) AS content_start, CAST(st + length(head) + length(text) AS BIGINT) AS content_end, CAST(st + length(segment) AS BIGINT) AS "end", n_turns FROM p
 """
 
-ORACLE = {"op1_url_filter": _URL, "op5_decontaminate": _CONTAMINATION, "op10_chat_format": _CHAT}
+_NEAR = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) >= 2 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS sh FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+m AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id, w.doc_id = m.root AS kept FROM w LEFT JOIN n USING (doc_id) JOIN m ON m.id = w.doc_id
+"""
+
+
+def _canonical(text: str) -> str:
+    """The canonical form of licence scans as SQL."""
+    got = f"regexp_replace(lower(coalesce({text}, '')), '(?m)^[^\\p{{L}}\\p{{N}}\\n(©]*(?:copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')"
+    got = f"replace(' ' || replace(regexp_replace({got}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10), ' ' || chr(10) || ' ') || ' ', '  ', ' ')"
+    for old, new in license_scan.SPELLINGS.items():
+        got = f"replace(replace({got}, ' {old} ', ' {new} '), ' {old} ', ' {new} ')"
+    return f"list_filter(list_transform(string_split({got}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
+
+
+def _license() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(k)}, {quoted(t)})" for k, t in [*license_scan.KNOWN.items(), *((v, k) for k, v in license_scan.NOTICES.items())])
+    return f"""
+WITH k AS (SELECT min(name) AS name, form FROM (SELECT name, array_to_string({_canonical("t")}, ' ') AS form FROM (VALUES {known}) v(name, t)) GROUP BY form),
+d AS (SELECT doc_id, {_canonical("text")} AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS form FROM d),
+f AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices, count(*) AS n FROM l JOIN k USING (form) GROUP BY doc_id)
+SELECT d.doc_id, k.name AS license, coalesce(f.notices, '') AS notices, coalesce(f.n, 0) AS n_notices
+FROM d LEFT JOIN k ON k.form = array_to_string(d.lines, ' ') LEFT JOIN f ON f.doc_id = d.doc_id
+"""
+
+
+ORACLE = {"op1_url_filter": _URL, "op2_license_scan": _license(), "op5_decontaminate": _CONTAMINATION, "op6_near_dedup": _NEAR, "op10_chat_format": _CHAT}
