@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orthoweave.operators import iterative, kernels, quality, tiles
+from orthoweave.operators import imaging, iterative, kernels, quality, tiles
 from orthoweave.plans.registry import query
 from orthoweave.sources.roles import PIXELS, pixels, table
 
@@ -186,3 +186,14 @@ def minimum_seam(spark, sf_dir):
 def correlation_peaks(spark, sf_dir):
     rows = pixels(spark, sf_dir).select("tile", F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"), "px")
     return iterative.peaks(rows, by="tile", value="px", radius=2.5)
+
+
+@query("A17 A29 R16 R44 B1 B152 B154")
+def pair_diagnostics(spark, sf_dir):
+    return imaging.pair_diagnostics(_next(spark, sf_dir), "a", "b").select("tile", "boundary_m", "land_dx", "land_dy", "land_ncc", "mask_corr", "median_m")
+
+
+@query("R27 R37 B11")
+def restored_tiles(spark, sf_dir):
+    tiles_ = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("tile"), "embedding")
+    return imaging.restored(tiles_, "embedding").select("tile", "px", "k1", "k2", "line")
