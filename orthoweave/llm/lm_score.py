@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from orthoweave.llm.common import materialize
 
 #: Bytes of context, bytes of a chunk and of the text whose keys one part gets, bytes looked at at once, and the end.
-DEPTH, CHUNK, PER_PART, AT_ONCE, END = 4, 16 << 20, 64 << 20, 2 << 20, b"\xff"
+DEPTH, CHUNK, PER_PART, AT_ONCE, END = 4, 8 << 20, 64 << 20, 1 << 20, b"\xff"
 WORDS, GRAMS = 0, 1
 #: The key of the end token among words, and one that no n-gram has.
 END_KEY, SKIP = 0, np.uint64(1 << 63)
@@ -84,9 +84,10 @@ def chunk_grams(train: list[bytes], others: list[bytes]) -> tuple[np.ndarray, np
     return _sum(np.concatenate(keys), np.concatenate(counts))
 
 
-def chunk_words(train: list[list[bytes]], others: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    counted = Counter(chain.from_iterable(train))
-    rest = set(chain.from_iterable(others)) - counted.keys()
+def chunk_words(train: list[bytes], others: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the distinct words and how often the training texts have them; no list of all words is made."""
+    counted = Counter(chain.from_iterable(map(bytes.split, train)))
+    rest = set(chain.from_iterable(map(bytes.split, others))) - counted.keys()
     keys = np.fromiter(chain([END_KEY], map(word_key, counted), map(word_key, rest)), np.uint64, 1 + len(counted) + len(rest))
     counts = np.r_[np.int64(len(train)), np.fromiter(counted.values(), np.int64, len(counted)), np.zeros(len(rest), np.int64)]
     return _sum(keys, counts)
@@ -110,7 +111,7 @@ def _gather(parts: int):
         pick = lambda yes: [r for r, x in zip(raws, learn, strict=True) if x == yes]
         train, others = pick(True), pick(False)
         rows = {"chunk": [], "kind": [], "part": [], "keys": [], "ns": []}
-        for kind, (keys, ns) in ((GRAMS, chunk_grams(train, others)), (WORDS, chunk_words([r.split() for r in train], [r.split() for r in others]))):
+        for kind, (keys, ns) in ((GRAMS, chunk_grams(train, others)), (WORDS, chunk_words(train, others))):
             part = part_of(kind, keys, parts)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1]]) if len(part) else []
@@ -289,14 +290,15 @@ def _score(parts: int, tokens: int, types: int):
         for first, last, keys, begin in gram_keys(raws):
             score[first:last] = np.add.reduceat(np.where(keys < SKIP, find(keys), 0.0), begin)
 
-        split = [r.split() for r in raws]
-        number = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(split)))}
+        number: dict[bytes, int] = {}
+        for w in chain.from_iterable(map(bytes.split, raws)):
+            number.setdefault(w, len(number))
         hashed = np.fromiter(chain(map(word_key, number), [END_KEY]), np.uint64, len(number) + 1)
         distinct, place = np.unique(hashed, return_inverse=True)
         counts = values(WORDS, distinct, told, np.int64)[place]
         word_log = np.log10(counts + 0.1) - math.log10(tokens + 0.1 * (types + 1)) if tokens else np.full(len(counts), unknown)
         base, known, n = np.empty(len(raws)), np.empty(len(raws), np.int64), np.empty(len(raws), np.int64)
-        for i, ws in enumerate(split):
+        for i, ws in enumerate(map(bytes.split, raws)):
             w = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
             n[i] = len(ws) + 1
             base[i] = word_log[w].sum() + word_log[-1]
