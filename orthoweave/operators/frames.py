@@ -136,3 +136,49 @@ def sticky_status(rows: DataFrame, *, by: str, seq: str, status: str) -> DataFra
     """The last status of each output, except that one once incoherent stays so."""
     once = F.bool_or(F.col(status) == "incoherent")
     return rows.groupBy(by).agg(F.when(once, "incoherent").otherwise(F.max_by(status, seq)).alias(status))
+
+
+def scale_grid(cells: DataFrame, *, by: str, value: str, most_z: float = 3.0) -> DataFrame:
+    """cells (r, c, value) with filled: values far from their group's median by robust z are dropped; a gap takes the mean
+    of what is left of its eight neighbours, else the group's median, and ``source`` says which."""
+    mid = cells.groupBy(by).agg(median(F.col(value)).alias("m"))
+    rows = cells.join(mid, by)
+    rows = rows.join(rows.groupBy(by).agg(median(F.abs(F.col(value) - F.col("m"))).alias("mad")), by)
+    good = F.col(value).isNotNull() & ((F.col("mad") < 1e-6) | (F.abs(F.col(value) - F.col("m")) * 0.6745 / F.col("mad") < most_z))
+    rows = rows.withColumn("kept", F.when(good, F.col(value)))
+    around = F.sequence(F.lit(-1), F.lit(1))
+    near = rows.filter("kept is not null").select(by, F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("kept").alias("v"))
+    near = near.withColumn("i", F.explode(around)).withColumn("j", F.explode(around)).filter("i <> 0 or j <> 0").select(by, (F.col("nr") + F.col("i")).alias("r"), (F.col("nc") + F.col("j")).alias("c"), "v")
+    got = rows.join(near.groupBy(by, "r", "c").agg(F.avg("v").alias("near")), [by, "r", "c"], "left")
+    source = F.when(F.col("kept").isNotNull(), "own").when(F.col("near").isNotNull(), "neighbours").otherwise("group")
+    return got.select(*cells.columns, F.coalesce("kept", "near", "m").alias("filled"), source.alias("source"))
+
+
+def to_world(col: Column, row: Column, transform: list[Column]) -> tuple[Column, Column]:
+    """World coordinates of a pixel under a raster's six-number transform."""
+    a, b, c, d, e, f = transform
+    return a * col + b * row + c, d * col + e * row + f
+
+
+def waterfall(sections: DataFrame, *, path: str, seq: str, value: str) -> DataFrame:
+    """seq, line: sections in order, indented by their depth."""
+    depth = F.size(F.split(F.col(path), r"\.")) - 1
+    name = F.regexp_extract(path, r"([^.]*)$", 1)
+    return sections.select(seq, F.concat(F.repeat(F.lit("  "), depth), name, F.format_string(" %.1f", F.col(value))).alias("line"))
+
+
+def is_aft(entity: Column, camera: Column) -> Column:
+    """Whether a frame is of the aft camera, by its id's letters, else by the camera's name."""
+    side = F.regexp_extract(entity, r"-\d+D([AF])", 1)
+    return F.when(side != "", side == "A").otherwise(F.lower(F.coalesce(camera, F.lit(""))).contains("aft"))
+
+
+def pair_from_array(values: Column, name: Column) -> Column:
+    """A match pair from its name and an array of five numbers, the precision sixth and else 1; null if there are fewer."""
+    at = lambda i: F.get(values, F.lit(i))
+    pair = F.struct(at(0).alias("ref_x"), at(1).alias("ref_y"), at(2).alias("off_x"), at(3).alias("off_y"), at(4).alias("confidence"), name.alias("name"), F.coalesce(at(5), F.lit(1.0)).alias("prec"))
+    return F.when(F.size(values) >= 5, pair)
+
+
+def with_confidence(pair: Column, confidence: Column) -> Column:
+    return pair.withField("confidence", confidence)

@@ -139,3 +139,47 @@ def mosaic_status(spark, sf_dir):
 def vignette_correction(spark, sf_dir):
     px = F.abs(F.get("embedding", F.lit(0)).cast("double")) * 200
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("tile"), F.round(frames.vignette(px, F.lit(0.5), 0.2, -0.1), 6).alias("px"), F.lit(round(1 / math.cos(0.5) ** 2, 9)).alias("stretch"))
+
+
+@query(
+    "A32",
+    """WITH v AS (SELECT p_brand AS g, CAST(p_size % 10 AS INT) AS r, CAST(p_partkey % 10 AS INT) AS c, CASE WHEN avg(p_size) % 4 < 3 THEN max(p_retailprice) END AS s FROM part GROUP BY ALL),
+m AS (SELECT g, median(s) AS m FROM v GROUP BY g), d AS (SELECT g, any_value(m) AS m, median(abs(s - m)) AS mad FROM v JOIN m USING (g) GROUP BY g),
+k AS (SELECT v.*, m, CASE WHEN s IS NOT NULL AND (mad < 1e-6 OR 0.6745 * abs(s - m) / mad < 1.5) THEN s END AS kept FROM v JOIN d USING (g)),
+n AS (SELECT a.g, a.r, a.c, avg(b.kept) AS near FROM k a JOIN k b ON a.g = b.g AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND (a.r <> b.r OR a.c <> b.c) GROUP BY ALL)
+SELECT k.g, k.r, k.c, round(coalesce(kept, near, m), 6) AS filled, CASE WHEN kept IS NOT NULL THEN 'own' WHEN near IS NOT NULL THEN 'neighbours' ELSE 'group' END AS source FROM k LEFT JOIN n USING (g, r, c)""",
+)
+def local_scale_grid(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("g"), (F.col("p_size") % 10).cast("int").alias("r"), (F.col("p_partkey") % 10).cast("int").alias("c"))
+    cells = rows.agg(F.when(F.avg("p_size") % 4 < 3, F.max("p_retailprice")).alias("s"))
+    got = frames.scale_grid(cells, by="g", value="s", most_z=1.5)
+    return got.select("g", "r", "c", F.round("filled", 6).alias("filled"), "source")
+
+
+@query("B3", "SELECT p_partkey, 0.5 * p_size + 0.1 * (p_partkey % 100) + 50 AS x, -0.2 * p_size - 0.5 * (p_partkey % 100) + 26 AS y FROM part")
+def pixel_to_world(spark, sf_dir):
+    x, y = frames.to_world(F.col("p_size"), F.col("p_partkey") % 100, [F.lit(v) for v in (0.5, 0.1, 50.0, -0.2, -0.5, 26.0)])
+    return table(spark, sf_dir, "part").select("p_partkey", x.alias("x"), y.alias("y"))
+
+
+@query("W11", f"WITH {TELEMETRY} SELECT seq, CASE WHEN scene % 2 = 0 THEN '' ELSE '  ' END || CASE WHEN scene % 2 = 0 THEN 'run' ELSE stage END || printf(' %.1f', seq / 10.0) AS line FROM telemetry")
+def profile_waterfall(spark, sf_dir):
+    path = F.when(F.col("scene") % 2 == 0, F.lit("run")).otherwise(F.concat(F.lit("run."), F.col("stage")))
+    rows = telemetry(spark, sf_dir).select("seq", path.alias("path"), (F.col("seq") / 10.0).alias("v"))
+    return frames.waterfall(rows, path="path", seq="seq", value="v")
+
+
+@query("P30", "SELECT c_custkey AS k, c_custkey % 3 = 0 OR (c_custkey % 3 = 2 AND c_custkey % 2 = 0) AS aft FROM customer")
+def aft_camera(spark, sf_dir):
+    k = F.col("c_custkey")
+    entity = F.when(k % 3 == 0, "DS1104-1057DA024").when(k % 3 == 1, "DS1104-1057DF024").otherwise("D3C1213-200346A003")
+    return table(spark, sf_dir, "customer").select(k.alias("k"), frames.is_aft(entity, F.when(k % 2 == 0, "KH-9 Aft")).alias("aft"))
+
+
+@query("B77 B79", "SELECT p_partkey, p_size * 1.0::DOUBLE AS ref_x, 0.7::DOUBLE AS confidence, CASE WHEN p_size % 2 = 0 THEN 2.5 ELSE 1.0 END::DOUBLE AS prec FROM part WHERE p_size % 5 <> 0")
+def pairs_from_arrays(spark, sf_dir):
+    s = F.col("p_size")
+    values = F.array(*[s * 1.0] * 5)
+    values = F.when(s % 5 == 0, F.slice(values, 1, 4)).when(s % 2 == 0, F.concat(values, F.array(F.lit(2.5)))).otherwise(values)
+    rows = table(spark, sf_dir, "part").select("p_partkey", frames.pair_from_array(values, F.col("p_brand")).alias("p")).filter("p is not null")
+    return rows.select("p_partkey", frames.with_confidence(F.col("p"), F.lit(0.7)).alias("p")).select("p_partkey", "p.ref_x", "p.confidence", "p.prec")
