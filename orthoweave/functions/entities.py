@@ -118,3 +118,10 @@ def dem_tile(lat: Column, lon: Column) -> Column:
     """Name of the one-degree elevation tile whose south-west corner is at whole degrees."""
     side = lambda v, plus, minus: F.when(v >= 0, plus).otherwise(minus)
     return F.concat(F.lit("Copernicus_DSM_COG_10_"), side(lat, "N", "S"), F.lpad(F.abs(lat).cast("string"), 2, "0"), F.lit("_00_"), side(lon, "E", "W"), F.lpad(F.abs(lon).cast("string"), 3, "0"), F.lit("_00_DEM"))
+
+
+def layer_mission(slug: Column, year: Column) -> Column:
+    """Which mission a layer shows, from the ids in its name; 1984 and later are modern."""
+    name = F.upper(slug)
+    n = F.regexp_extract(name, r"DS(\d{4})", 1).try_cast("int")
+    return _first([(year >= 1984, "modern"), (n.between(9024, 9069), "kh-4"), (n.between(1018, 1052), "kh-4a"), (n.between(1101, 1117), "kh-4b"), (name.rlike(r"DZB12\d{2}"), "kh-9-mc"), (name.rlike(r"DZB40\d{2}"), "kh-7"), (name.rlike(r"D3C\d{4}"), "kh-9-pc"), (name.contains("-KH9-"), "kh-9-mc"), (F.lit(True), "unknown")])

@@ -182,3 +182,31 @@ def pair_from_array(values: Column, name: Column) -> Column:
 
 def with_confidence(pair: Column, confidence: Column) -> Column:
     return pair.withField("confidence", confidence)
+
+
+def point_weights(points: DataFrame, *, by: str, cell: float = 0.3) -> DataFrame:
+    """points (x, y in shares of the frame, virtual, prec) with weight: precision of real points; of virtual ones .05 to
+    .40, growing with the distance to the nearest real point between .1 and .3. Cells of .3 hold all that matters."""
+    around = F.sequence(F.lit(-1), F.lit(1))
+    at = lambda df: df.withColumn("gx", F.floor(F.col("x") / cell)).withColumn("gy", F.floor(F.col("y") / cell))
+    real = at(points.filter(~F.col("virtual"))).select(by, F.col("x").alias("rx"), F.col("y").alias("ry"), "gx", "gy")
+    asked = at(points.filter("virtual")).select(by, "id", "x", "y", "gx", "gy").withColumn("i", F.explode(around)).withColumn("j", F.explode(around)).withColumn("gx", F.col("gx") + F.col("i")).withColumn("gy", F.col("gy") + F.col("j"))
+    near = asked.join(real, [by, "gx", "gy"]).groupBy(by, "id").agg(F.min(F.sqrt(F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2))).alias("dist"))
+    ramp = clip((F.coalesce("dist", F.lit(1.0)) - 0.1) / 0.2, 0.0, 1.0) * 0.35 + 0.05
+    return points.join(near, [by, "id"], "left").select(*points.columns, F.when(F.col("virtual"), ramp).otherwise(F.col("prec")).alias("weight"))
+
+
+def covered_by_tiles(boxes: DataFrame, tiles: DataFrame, *, samples: int = 4) -> DataFrame:
+    """id, covered: whether every sampled tile (x, y) of a box's range (x_min to x_max, y_min to y_max) exists."""
+    side = max(1, int(samples**0.5))
+    line = lambda a, b: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.bround(F.col(a) + i * (F.col(b) - F.col(a)) / float(max(1, side - 1))).cast("long"))
+    asked = boxes.select("id", F.explode(line("x_min", "x_max")).alias("x"), line("y_min", "y_max").alias("ys")).select("id", "x", F.explode("ys").alias("y"))
+    there = tiles.select("x", "y", F.lit(1).alias("there")).distinct()
+    return asked.join(there, ["x", "y"], "left").groupBy("id").agg((F.count("there") == F.count("*")).alias("covered"))
+
+
+def search_bounds(priors: DataFrame, reference: tuple[float, float, float, float], *, by: str) -> DataFrame:
+    """by and the box to search: all priors' boxes widened by half their size, 5 km at least, within the reference."""
+    w, s, e, n = (F.lit(v) for v in reference)
+    margin = F.greatest((F.col("east") - F.col("west")) * 0.5, (F.col("north") - F.col("south")) * 0.5, F.lit(5000.0))
+    return priors.groupBy(by).agg(F.greatest(w, F.min(F.col("west") - margin)).alias("west"), F.greatest(s, F.min(F.col("south") - margin)).alias("south"), F.least(e, F.max(F.col("east") + margin)).alias("east"), F.least(n, F.max(F.col("north") + margin)).alias("north"))

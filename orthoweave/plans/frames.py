@@ -183,3 +183,34 @@ def pairs_from_arrays(spark, sf_dir):
     values = F.when(s % 5 == 0, F.slice(values, 1, 4)).when(s % 2 == 0, F.concat(values, F.array(F.lit(2.5)))).otherwise(values)
     rows = table(spark, sf_dir, "part").select("p_partkey", frames.pair_from_array(values, F.col("p_brand")).alias("p")).filter("p is not null")
     return rows.select("p_partkey", frames.with_confidence(F.col("p"), F.lit(0.7)).alias("p")).select("p_partkey", "p.ref_x", "p.confidence", "p.prec")
+
+
+@query("P14", "WITH l AS (SELECT p_partkey AS k, 1950 + p_size AS year, CASE p_partkey % 6 WHEN 0 THEN 'a-ds1104-x' WHEN 1 THEN 'DS1022-y' WHEN 2 THEN 'dzb4036' WHEN 3 THEN 'D3C1213' WHEN 4 THEN 'z-kh9-z' ELSE 'city' END AS slug FROM part) SELECT k, CASE WHEN year >= 1984 THEN 'modern' WHEN slug LIKE '%1104%' THEN 'kh-4b' WHEN slug LIKE '%1022%' THEN 'kh-4a' WHEN slug LIKE 'dzb40%' THEN 'kh-7' WHEN slug LIKE 'D3C%' THEN 'kh-9-pc' WHEN slug LIKE '%kh9%' THEN 'kh-9-mc' ELSE 'unknown' END AS mission FROM l")
+def layer_missions(spark, sf_dir):
+    from orthoweave.functions.entities import layer_mission
+
+    k = F.col("p_partkey")
+    slug = F.when(k % 6 == 0, "a-ds1104-x").when(k % 6 == 1, "DS1022-y").when(k % 6 == 2, "dzb4036").when(k % 6 == 3, "D3C1213").when(k % 6 == 4, "z-kh9-z").otherwise("city")
+    return table(spark, sf_dir, "part").select(k.alias("k"), layer_mission(slug, F.col("p_size") + 1950).alias("mission"))
+
+
+@query("G18", "WITH p AS (SELECT p_brand AS g, p_partkey AS id, (p_partkey % 101) / 101.0::DOUBLE AS x, (p_partkey % 97) / 97.0::DOUBLE AS y, p_size % 3 = 0 AS v, 1.0 + p_size / 100.0::DOUBLE AS prec FROM part), n AS (SELECT a.id, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS d FROM p a JOIN p b ON a.g = b.g AND a.v AND NOT b.v GROUP BY a.id) SELECT p.id, round(CASE WHEN v THEN least(1, greatest(0, (coalesce(d, 1) - 0.1::DOUBLE) / 0.2::DOUBLE)) * 0.35::DOUBLE + 0.05::DOUBLE ELSE prec END, 9) AS weight FROM p LEFT JOIN n USING (id)")
+def point_weights(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    pts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("g"), k.alias("id"), ((k % 101) / 101.0).alias("x"), ((k % 97) / 97.0).alias("y"), (s % 3 == 0).alias("virtual"), (s / 100.0 + 1.0).alias("prec"))
+    return frames.point_weights(pts, by="g").select("id", F.round("weight", 9).alias("weight"))
+
+
+@query("S32", "WITH b AS (SELECT p_partkey AS id, p_partkey % 40 AS x0, p_partkey % 40 + p_size AS x1, p_partkey % 30 AS y0, p_partkey % 30 + p_size % 9 AS y1 FROM part), t AS (SELECT DISTINCT c_custkey % 91 AS x, c_custkey % 37 AS y FROM customer), a AS (SELECT id, unnest([x0, x1]) AS x, [y0, y1] AS ys FROM b), q AS (SELECT id, x, unnest(ys) AS y FROM a) SELECT id, count(t.x) = count(*) AS covered FROM q LEFT JOIN t ON q.x = t.x AND q.y = t.y GROUP BY id")
+def tile_coverage(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    boxes = table(spark, sf_dir, "part").select(k.alias("id"), (k % 40).alias("x_min"), (k % 40 + s).alias("x_max"), (k % 30).alias("y_min"), (k % 30 + s % 9).alias("y_max"))
+    there = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 91).alias("x"), (F.col("c_custkey") % 37).alias("y"))
+    return frames.covered_by_tiles(boxes, there)
+
+
+@query("F46", "SELECT p_brand AS g, greatest(0.0, min(p_size * 1000 - 5000))::DOUBLE AS west, greatest(0.0, min(p_size * 500 - 5000))::DOUBLE AS south, least(60000.0, max(p_size * 1000 + 2000 + 5000))::DOUBLE AS east, least(20000.0, max(p_size * 500 + 3000 + 5000))::DOUBLE AS north FROM part GROUP BY p_brand")
+def search_bounds(spark, sf_dir):
+    s = F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("g"), (s * 1000.0).alias("west"), (s * 500.0).alias("south"), (s * 1000.0 + 2000).alias("east"), (s * 500.0 + 3000).alias("north"))
+    return frames.search_bounds(rows, (0.0, 0.0, 60000.0, 20000.0), by="g")
