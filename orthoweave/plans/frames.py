@@ -156,7 +156,7 @@ def local_scale_grid(spark, sf_dir):
     return got.select("g", "r", "c", F.round("filled", 6).alias("filled"), "source")
 
 
-@query("B3", "SELECT p_partkey, 0.5 * p_size + 0.1 * (p_partkey % 100) + 50 AS x, -0.2 * p_size - 0.5 * (p_partkey % 100) + 26 AS y FROM part")
+@query("B3", "SELECT p_partkey, 0.5::DOUBLE * p_size + 0.1::DOUBLE * (p_partkey % 100) + 50 AS x, -0.2::DOUBLE * p_size - 0.5::DOUBLE * (p_partkey % 100) + 26 AS y FROM part")
 def pixel_to_world(spark, sf_dir):
     x, y = frames.to_world(F.col("p_size"), F.col("p_partkey") % 100, [F.lit(v) for v in (0.5, 0.1, 50.0, -0.2, -0.5, 26.0)])
     return table(spark, sf_dir, "part").select("p_partkey", x.alias("x"), y.alias("y"))
