@@ -101,15 +101,20 @@ def canonical(text: Column) -> Column:
     got = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _LINE, "")
     got = F.regexp_replace(got, r"[^\p{L}\p{N}\n]+", " ")
     got = F.concat(F.lit(" "), F.replace(got, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
-    got = F.replace(got, F.lit("  "), F.lit(" "))
-    for old, new in SPELLINGS.items():
-        for _ in range(2):  # neighbours share a blank
-            got = F.replace(got, F.lit(f" {old} "), F.lit(f" {new} "))
-    return got
+    return F.replace(got, F.lit("  "), F.lit(" "))
 
 
 def _lines(form: Column) -> Column:
-    return F.filter(F.transform(F.split(form, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    """Lines that aren't empty, in one spelling. Only a text that holds another spelling is gone through."""
+    ruled = F.rlike(form, F.lit(" (?:" + "|".join(SPELLINGS) + ") "))
+    return F.filter(F.transform(F.split(F.when(ruled, _spelled(form)).otherwise(form), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def _spelled(form: Column) -> Column:
+    for old, new in SPELLINGS.items():
+        for _ in range(2):  # neighbours share a blank
+            form = F.replace(form, F.lit(f" {old} "), F.lit(f" {new} "))
+    return form
 
 
 def known(spark: SparkSession) -> DataFrame:
