@@ -23,16 +23,19 @@ def bracketing(frames: DataFrame, *, by: list[str], done: str) -> DataFrame:
 def extrapolated_centre(frames: DataFrame, *, by: list[str], done: str) -> DataFrame:
     """frames with x, y: on the line through the two nearest accepted frames' centres (cx, cy); from one, its centre.
 
-    Of frames equally near the lower one counts as nearer. Candidates are the two accepted frames next on either side,
-    which windows find without a join; frames of a strip must be distinct.
+    Of frames equally near the lower one counts as nearer. Each accepted frame carries the one before
+    it and the one after, so that windows find two on either side of any frame; frames of a strip must be distinct.
     """
     order = W.partitionBy(*by).orderBy("frame")
-    one = F.when(F.col(done), F.struct("frame", "cx", "cy"))
-    before = F.filter(F.collect_list(one).over(order.rowsBetween(W.unboundedPreceding, -1)), lambda x: x.isNotNull())
-    after = F.filter(F.collect_list(one).over(order.rowsBetween(1, W.unboundedFollowing)), lambda x: x.isNotNull())
-    near = F.concat(F.slice(before, F.greatest(F.lit(1), F.size(before) - 1), 2), F.slice(after, 1, 2))
-    ranked = F.transform(F.array_sort(F.transform(near, lambda x: F.struct(F.abs(x["frame"] - F.col("frame")).alias("d"), x["frame"].alias("f"), x["cx"].alias("x"), x["cy"].alias("y")))), lambda x: x)
-    rows = frames.withColumn("near", F.slice(ranked, 1, 2))
+    among = W.partitionBy(*by, done).orderBy("frame")
+    own = F.struct("frame", "cx", "cy")
+    two = lambda other: F.when(F.col(done), F.array(own, other(own, 1).over(among)))
+    rows = frames.withColumn("back", two(F.lag)).withColumn("ahead", two(F.lead))
+    rows = rows.withColumn("back", F.last("back", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))).withColumn("ahead", F.first("ahead", ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing)))
+    none = F.array().cast(rows.schema["back"].dataType)
+    near = F.filter(F.concat(F.coalesce("back", none), F.coalesce("ahead", none)), lambda x: x.isNotNull())
+    ranked = F.array_sort(F.transform(near, lambda x: F.struct(F.abs(x["frame"] - F.col("frame")).alias("d"), x["frame"].alias("f"), x["cx"].alias("x"), x["cy"].alias("y"))))
+    rows = rows.withColumn("near", ranked)
     a, b = F.get("near", F.lit(0)), F.get("near", F.lit(1))
     on_line = lambda v: F.when(b.isNull(), a[v]).otherwise(a[v] + (b[v] - a[v]) / (b["f"] - a["f"]) * (F.col("frame") - a["f"]))
     return rows.select(*frames.columns, on_line("x").alias("x"), on_line("y").alias("y"))
@@ -49,8 +52,11 @@ def grown_window(jobs: DataFrame, *, by: list[str], done: str, margin: float = 0
 def secondary_references(jobs: DataFrame, *, by: list[str], done: str, keep: int = 2) -> DataFrame:
     """jobs with refs: the last accepted jobs before each, the latest first."""
     earlier = W.partitionBy(*by).orderBy("frame", "entity_id").rowsBetween(W.unboundedPreceding, -1)
-    seen = F.collect_list(F.when(F.col(done), F.col("entity_id"))).over(earlier)
-    return jobs.select(*jobs.columns, F.slice(F.reverse(seen), 1, keep).alias("refs"))
+    among = W.partitionBy(*by, done).orderBy("frame", "entity_id")
+    chain = F.when(F.col(done), F.array("entity_id", *[F.lag("entity_id", k).over(among) for k in range(1, keep)]))
+    rows = jobs.withColumn("refs", chain)
+    last = F.coalesce(F.last("refs", ignorenulls=True).over(earlier), F.array().cast(rows.schema["refs"].dataType))
+    return rows.select(*jobs.columns, F.filter(last, lambda x: x.isNotNull()).alias("refs"))
 
 
 def right_neighbours(matches: DataFrame, *, by: str) -> DataFrame:

@@ -81,7 +81,7 @@ def _around(px: DataFrame, offsets: list[tuple[int, int]], size: int) -> DataFra
 def census(px: DataFrame, *, size: int = 8) -> DataFrame:
     """tile, r, c, code: a bit for each of eight pixels two steps away that is brighter than the centre."""
     rows = _around(px, CENSUS, size)
-    bit = F.when(F.col("v") > F.col("centre"), F.shiftleft(F.lit(1), 0) * F.pow(F.lit(2), F.col("i"))).otherwise(0)
+    bit = F.when(F.col("v") > F.col("centre"), F.pow(F.lit(2), F.col("i"))).otherwise(0)
     return rows.groupBy("tile", "r", "c").agg(F.sum(bit).cast("int").alias("code"))
 
 
