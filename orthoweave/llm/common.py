@@ -15,6 +15,9 @@ SPACE = r"\x20\x09-\x0D"
 #: Internal columns; input columns of any other name pass through untouched.
 OWN = "__ow_"
 
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
+
 _made: list[tuple[SparkSession, str]] = []
 _own: list[str] = []
 
@@ -50,6 +53,13 @@ def clean() -> None:
             return
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of BATCH_ROWS at most, as a batch is held whole on both sides; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orthoweave.llm.common import bounded_batches
+
 #: Rows of the matrix, orders of n-grams, code points of a piece, languages at most, count added to each n-gram.
 HASHED, ORDERS, PIECE, MOST_LANGS, ADDED = 1 << 16, (1, 2, 3), 1 << 18, 512, 0.5
 UNKNOWN = "und"
@@ -56,6 +58,8 @@ def has_letter(text: str) -> bool:
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log-probabilities [HASHED, languages] and log-priors."""
 
+    bounded_batches(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -64,6 +68,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> tuple[l
                 to[HASHED] += 1
                 for g in grams(t):
                     to[:HASHED] += np.bincount(g, minlength=HASHED)
+            pa.default_memory_pool().release_unused()
         for name, n in sums.items():
             at = np.flatnonzero(n)
             yield pa.record_batch({"lang": pa.array([name] * len(at), pa.string()), "gram": pa.array(at, pa.int64()), "n": pa.array(n[at], pa.int64())})

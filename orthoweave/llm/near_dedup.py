@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orthoweave.llm.common import materialize
+from orthoweave.llm.common import bounded_batches, materialize
 from orthoweave.llm.components import components
 
 #: Trees, levels of a tree, documents of a small node; agreeing minhashes (of TREES * LEVELS) that make a pair likely.
@@ -37,7 +37,7 @@ BROADCAST_IDS = 500_000
 #: Ids of rows without one start here.
 NAMELESS = 2**62
 #: Hashed words that a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 1 << 16
 
 
 def uid(doc_id: Column, text: Column) -> Column:
@@ -90,6 +90,7 @@ def _sign(k: int):
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sigs.append(signature(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("uid"), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "uid", "n", "digest", "sig"])
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -100,6 +101,7 @@ def _sets(k: int):
         for batch in batches:
             got = [shingle(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch({"uid": batch.column("uid"), "set": pa.array([s.tobytes() for s in got], pa.binary())})
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -249,6 +251,7 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, levels: int = LEVELS, leaf: int = LEAF) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and uid (the id, or what stands for it), one row for each of docs."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), uid(F.col(doc_id), F.col(text)).alias("uid"), F.col(text).alias("text"))
     signed = materialize(rows.mapInArrow(_sign(shingle), "doc_id long, uid long, n long, digest binary, sig binary"), "signed")
     first = materialize(signed.filter("n > 0").groupBy("digest").agg(F.min("uid").alias("rep")).withColumnRenamed("digest", "d"), "first")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orthoweave.llm.boosting import BoostedTrees
+from orthoweave.llm.common import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Generated examples a kind, their seed, precision of the calibrated thresholds, characters of context on either side.
@@ -201,6 +202,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 def detect(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """docs with n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all of them) and n_added."""
     chosen = models()
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
     def found(column: pd.Series) -> pd.DataFrame:
@@ -227,6 +229,7 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact(docs: DataFrame, *, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """docs with every span in text replaced by a mark, and n_chars, if it is there, set to the new length."""
     chosen = models()
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
     def clean(column: pd.Series) -> pd.Series:
