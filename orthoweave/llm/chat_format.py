@@ -17,36 +17,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SYSTEM = "system"
+SYSTEM, TAIL = "system", "<|im_end|>\n"
+#: Turn numbers of one range.
+RANGE = 32
 
 
 def rotations(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text") -> DataFrame:
     """conv_id, perspective, position, turn, speaker, segment, trained, start, content_start, content_end, end, n_turns.
 
     Positions and offsets are prefix sums in two steps, over ranges of a dialogue and within each range, so that a hot
-    dialogue is dealt over many tasks; equal rows are counted before the shuffle.
+    dialogue is dealt over many tasks; equal rows are counted before the shuffle. The sums over ranges come from lengths
+    alone; texts are shuffled by range once they are counted, and rotated where they then are.
     """
+    told_by = F.coalesce(F.col(speaker).cast("string"), F.lit("unknown"))
+    number = F.col(turn).cast("long")
     rows = turns.select(
-        F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(speaker).cast("string"), F.lit("unknown")).alias("speaker"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    )
-    rows = rows.groupBy("conv_id", "turn", "speaker", "text").agg(F.count("*").alias("n"))
-    speakers = rows.filter(F.col("speaker") != SYSTEM).select("conv_id", "speaker").distinct().select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective"))
-    told = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
-    is_self = F.col("speaker") == F.col("perspective")
-    head = F.concat(F.lit("<|im_start|>"), F.when(F.col("speaker") == SYSTEM, SYSTEM).when(is_self, "assistant").otherwise(F.concat(F.lit("user name="), F.col("speaker"))), F.lit("\n"))
-    told = told.select("*", head.alias("head"), F.concat(head, F.col("text"), F.lit("<|im_end|>\n")).alias("segment"), is_self.alias("trained"))
-    told = told.withColumn("len", F.length("segment").cast("long")).withColumn("range", F.floor(F.coalesce("turn", F.lit(-(2**62))) / 32))
-    key = ["conv_id", "perspective"]
-    sums = told.groupBy(*key, "range").agg(F.sum(F.col("len") * F.col("n")).alias("chars"), F.sum("n").alias("rows"))
-    before = W.partitionBy(*key).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select(
-        *[F.col(c).alias("s_" + c) for c in [*key, "range"]],
-        F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars0"),
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows0"),
-        F.sum("rows").over(W.partitionBy(*key)).alias("n_turns"),
-    )
-    told = told.join(sums, F.col("conv_id").eqNullSafe(F.col("s_conv_id")) & (F.col("perspective") == F.col("s_perspective")) & (F.col("range") == F.col("s_range")))
-    here = W.partitionBy(*key, "range").orderBy("turn", "speaker", "text").rowsBetween(W.unboundedPreceding, -1)
+        F.col(conv).cast("long").alias("conv_id"), F.col(conv).isNull().alias("no_id"), F.coalesce(F.col(conv).cast("long"), F.lit(0)).alias("id"), F.floor(F.coalesce(number, F.lit(-(2**62))) / RANGE).alias("range"), number.alias("turn"), told_by.alias("speaker"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
+    )
+    rows = rows.groupBy("conv_id", "no_id", "id", "range", "turn", "speaker", "text").agg(F.count("*").alias("n"))
+
+    head = F.concat(F.lit("<|im_start|>"), F.when(F.col("speaker") == SYSTEM, SYSTEM).when(F.col("speaker") == F.col("perspective"), "assistant").otherwise(F.concat(F.lit("user name="), F.col("speaker"))), F.lit("\n"))
+    dialogue = ["no_id", "id"]
+    per = rows.groupBy(*dialogue, "range", "speaker").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.length("text")).alias("chars"))
+    speakers = per.filter(F.col("speaker") != SYSTEM).select(*dialogue, F.col("speaker").alias("perspective")).distinct()
+    sums = per.join(speakers, dialogue).groupBy(*dialogue, "range", "perspective").agg(F.sum(F.col("chars") + F.col("n") * (F.length(head) + len(TAIL))).alias("chars"), F.sum("n").alias("n"))
+    before = W.partitionBy(*dialogue, "perspective").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    held = F.struct("perspective", F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars0"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows0"), F.sum("n").over(W.partitionBy(*dialogue, "perspective")).alias("n_turns"))
+    held = sums.select(*dialogue, "range", held.alias("held")).groupBy(*dialogue, "range").agg(F.collect_list("held").alias("held"))
+
+    told = rows.join(held, [*dialogue, "range"]).select("*", F.inline("held")).drop("held")
+    told = told.withColumn("head", head).withColumn("segment", F.concat("head", "text", F.lit(TAIL))).withColumn("trained", F.col("speaker") == F.col("perspective")).withColumn("len", F.length("segment").cast("long"))
+    here = W.partitionBy(*dialogue, "range", "perspective").orderBy("turn", "speaker", "text").rowsBetween(W.unboundedPreceding, -1)
     told = told.withColumn("chars1", F.col("chars0") + F.coalesce(F.sum(F.col("len") * F.col("n")).over(here), F.lit(0))).withColumn("rows1", F.col("rows0") + F.coalesce(F.sum("n").over(here), F.lit(0)))
     told = told.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     start = F.col("chars1") + F.col("copy") * F.col("len")
