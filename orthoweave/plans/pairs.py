@@ -183,7 +183,7 @@ def rejected_anchor_anti_join(spark, sf_dir):
 
 @query("J17")
 def chamfer_distance(spark, sf_dir):
-    return pairs.chamfer(match_pairs(spark, sf_dir).filter("is_anchor"))
+    return pairs.chamfer(match_pairs(spark, sf_dir))
 
 
 @query("O6")
@@ -193,28 +193,27 @@ def spatial_dedup(spark, sf_dir):
 
 @query("G4")
 def iterative_outlier_removal(spark, sf_dir):
-    rows = match_pairs(spark, sf_dir).filter("is_anchor")
-    return iterative.outlier_removal(rows).select("id", "scene", "residual")
+    return iterative.outlier_removal(match_pairs(spark, sf_dir)).select("id", "scene", "residual")
 
 
 @query("G1 G3")
 def ransac_affine(spark, sf_dir):
-    return iterative.ransac_affine(match_pairs(spark, sf_dir).filter("is_anchor"))
+    return iterative.ransac_affine(match_pairs(spark, sf_dir))
 
 
 @query("A21")
 def cross_validation(spark, sf_dir):
-    return iterative.cross_validate(match_pairs(spark, sf_dir).filter("is_anchor"))
+    return iterative.cross_validate(match_pairs(spark, sf_dir))
 
 
 @query("O5")
 def gcp_selection(spark, sf_dir):
-    return iterative.select_gcps(match_pairs(spark, sf_dir).filter("is_anchor")).select("id", "scene")
+    return iterative.select_gcps(match_pairs(spark, sf_dir)).select("id", "scene")
 
 
 @query("G12 G13 B15 B16")
 def triangle_area_ratio(spark, sf_dir):
-    return iterative.triangle_filter(match_pairs(spark, sf_dir).filter("is_anchor AND confidence > 0.9")).select("id", "scene", "ratio")
+    return iterative.triangle_filter(match_pairs(spark, sf_dir)).select("id", "scene", "ratio")
 
 
 @query("G7")

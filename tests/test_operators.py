@@ -41,6 +41,48 @@ def test_cross_validation_and_selection(spark):
     assert iterative.select_gcps(_pairs(spark, n=60)).count() == 25
 
 
+def test_mesh_without_points_is_the_mesh_of_the_rest():
+    rng = np.random.default_rng(3)
+    for p in (rng.uniform(0, 100, (40, 2)), np.array([(x * 10.0, y * 200.0) for x in range(6) for y in range(5)])):
+        mesh, left = iterative.Mesh(p), list(range(len(p)))
+        for i in rng.permutation(len(p))[:-4].tolist():
+            mesh.remove(i)
+            left.remove(i)
+            tris = mesh.triangles()
+            assert not len(tris) or not any(mesh._inside(*t, d) for t in tris.tolist() for d in left)
+            assert len(tris) == len(iterative.Mesh(p[left]).triangles())
+
+
+def test_triangle_filter_is_the_loop_that_builds_the_mesh_anew(spark):
+    rng = np.random.default_rng(4)
+    ref = rng.uniform(0, 1000, (80, 2))
+    off = ref + rng.normal(0, 30, (80, 2))
+    df = pd.DataFrame({"id": [f"p{i:03d}" for i in range(80)], "scene": "s", "is_anchor": False, "ref_x": ref[:, 0], "ref_y": ref[:, 1], "off_x": off[:, 0], "off_y": off[:, 1], "confidence": 0.9, "prec": 1.0})
+    left = list(range(80))
+    while len(left) > 4:
+        ratio = iterative.area_ratios(ref[left], off[left])
+        if ratio.max() <= 1.5:
+            break
+        del left[int(ratio.argmax())]
+    got = iterative.triangle_filter(spark.createDataFrame(df)).sort("id").toPandas()
+    assert 4 < len(left) < 80 and list(got.id) == [f"p{i:03d}" for i in left] and np.allclose(got.ratio, ratio)
+
+
+def test_queries_on_pairs_see_automatic_pairs_too(spark):
+    from orthoweave.plans import catalog
+    from orthoweave.sources.roles import match_pairs
+
+    sf, queries = "/root/testdata/sf0.001", catalog.queries()
+    rows = match_pairs(spark, sf)
+    n = {r.scene: r["count"] for r in rows.groupBy("scene").count().collect()}
+    assert {r.scene: r.n for r in queries["ransac_affine"](spark, sf).collect()} == n
+    auto = rows.filter("NOT is_anchor").select("id").distinct()
+    for name in ("triangle_area_ratio", "iterative_outlier_removal", "gcp_selection"):
+        assert queries[name](spark, sf).join(auto, "id", "left_semi").count() > 0
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert same(queries["cross_validation"](spark, sf), iterative.cross_validate(rows)) and same(queries["chamfer_distance"](spark, sf), pairs.chamfer(rows))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 2000), st.floats(0, 2000)), max_size=60))
 def test_greedy_dedup_is_apart_and_maximal(points):
