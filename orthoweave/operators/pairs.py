@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orthoweave.functions.numbers import MAD_SCALE, clip, median, trunc0
+from orthoweave.operators.nearest import nearest
 
 
 def displaced(pairs: DataFrame) -> DataFrame:
@@ -218,24 +219,19 @@ def corroborated(anchors: DataFrame, presearch: DataFrame) -> DataFrame:
     return rows.select("scene", "dx", "dy", reason.alias("reason"))
 
 
-def chamfer(pairs: DataFrame, *, soft_m: float = 500.0, slope: float = 0.3, cell_m: float = 2000.0, rings: int = 2) -> DataFrame:
+def chamfer(pairs: DataFrame, *, soft_m: float = 500.0, slope: float = 0.3, cell_m: float = 500.0) -> DataFrame:
     """scene, chamfer_m: mean distance from each offset point to the nearest reference point, and back, halved.
 
-    Distances beyond soft_m grow by ``slope`` only. Points are joined by cells; ``rings`` cells on each side are looked
-    at, and a point without a neighbour there counts as one at the limit of what was searched.
+    Distances beyond soft_m grow by ``slope`` only, without end. The search begins with cells of cell_m and widens them for
+    points whose nearest neighbour is further away.
     """
     off = pairs.select("scene", "id", F.col("off_x").alias("x"), F.col("off_y").alias("y"))
     ref = pairs.select("scene", "id", F.col("ref_x").alias("x"), F.col("ref_y").alias("y"))
-    far = rings * cell_m
 
     def one_way(p: DataFrame, q: DataFrame) -> DataFrame:
-        around = F.sequence(F.lit(-rings), F.lit(rings))
-        q = q.select("scene", F.col("x").alias("qx"), F.col("y").alias("qy")).distinct().withColumn("gx", F.floor(F.col("qx") / cell_m)).withColumn("gy", F.floor(F.col("qy") / cell_m))
-        asked = p.withColumn("sx", F.explode(around)).withColumn("sy", F.explode(around)).withColumn("gx", F.floor(F.col("x") / cell_m) + F.col("sx")).withColumn("gy", F.floor(F.col("y") / cell_m) + F.col("sy"))
-        dist = F.sqrt(F.pow(F.col("x") - F.col("qx"), 2) + F.pow(F.col("y") - F.col("qy"), 2))
-        least = asked.join(q, ["scene", "gx", "gy"], "left").groupBy("scene", "id").agg(F.least(F.coalesce(F.min(dist), F.lit(far)), F.lit(far)).alias("dist"))
+        places = q.select("scene", F.col("x").alias("qx"), F.col("y").alias("qy")).distinct().withColumn("q", F.lit(0))
         soft = F.when(F.col("dist") > soft_m, soft_m + (F.col("dist") - soft_m) * slope).otherwise(F.col("dist"))
-        return least.groupBy("scene").agg(F.avg(soft).alias("m"))
+        return nearest(p, places, k=1, cell=cell_m).groupBy("scene").agg(F.avg(soft).alias("m"))
 
     there, back = one_way(off, ref), one_way(ref, off).withColumnRenamed("m", "b")
     return there.join(back, "scene").select("scene", ((F.col("m") + F.col("b")) / 2).alias("chamfer_m"))

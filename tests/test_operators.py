@@ -83,6 +83,17 @@ def test_queries_on_pairs_see_automatic_pairs_too(spark):
     assert same(queries["cross_validation"](spark, sf), iterative.cross_validate(rows)) and same(queries["chamfer_distance"](spark, sf), pairs.chamfer(rows))
 
 
+def test_chamfer_is_the_true_minimum_however_far(spark):
+    rng = np.random.default_rng(6)
+    ref = np.r_[rng.uniform(0, 3000, (30, 2)), [[90000.0, -70000.0]]]
+    for shift in (5.0, 25000.0):
+        off = ref + [shift, -shift]
+        df = pd.DataFrame({"id": [f"p{i:03d}" for i in range(31)], "scene": "s", "is_anchor": False, "ref_x": ref[:, 0], "ref_y": ref[:, 1], "off_x": off[:, 0], "off_y": off[:, 1], "confidence": 0.9, "prec": 1.0})
+        d = np.hypot(*(off[:, None] - ref[None]).transpose(2, 0, 1))
+        soft = lambda m: np.where(m > 500, 500 + (m - 500) * 0.3, m).mean()
+        assert abs(pairs.chamfer(spark.createDataFrame(df)).first().chamfer_m - (soft(d.min(0)) + soft(d.min(1))) / 2) < 1e-6
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 2000), st.floats(0, 2000)), max_size=60))
 def test_greedy_dedup_is_apart_and_maximal(points):
