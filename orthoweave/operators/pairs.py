@@ -125,15 +125,9 @@ def best_per_cell(pairs: DataFrame, *, cell_m: float, keep: int = 1) -> DataFram
 
 def locally_consistent(candidates: DataFrame, reference: DataFrame, *, within_m: float = 50.0, k: int = 5, radius: float = 5000.0, alone: float = 0.65) -> DataFrame:
     """Candidates whose displacement is near the mean of their k nearest reference pairs within the radius, or which have
-    none there but are confident. Cells as wide as the radius make the search an equi-join with 3x3 neighbours."""
-    near = displaced(reference).select("scene", F.col("id").alias("n_id"), F.col("ref_x").alias("n_x"), F.col("ref_y").alias("n_y"), F.col("dx").alias("n_dx"), F.col("dy").alias("n_dy"))
-    near = near.withColumn("gx", F.floor(F.col("n_x") / radius)).withColumn("gy", F.floor(F.col("n_y") / radius))
-    around = F.sequence(F.lit(-1), F.lit(1))
-    asked = displaced(candidates).withColumn("sx", F.explode(around)).withColumn("sy", F.explode(around))
-    asked = asked.withColumn("gx", F.floor(F.col("ref_x") / radius) + F.col("sx")).withColumn("gy", F.floor(F.col("ref_y") / radius) + F.col("sy"))
-    dist = F.sqrt(F.pow(F.col("ref_x") - F.col("n_x"), 2) + F.pow(F.col("ref_y") - F.col("n_y"), 2))
-    met = asked.join(near, ["scene", "gx", "gy"]).withColumn("dist", dist).filter(F.col("dist") < radius)
-    met = met.withColumn("rank", F.row_number().over(W.partitionBy("scene", "id").orderBy("dist", "n_id"))).filter(F.col("rank") <= k)
+    none there but are confident."""
+    near = displaced(reference).select("scene", F.col("ref_x").alias("qx"), F.col("ref_y").alias("qy"), F.col("id").alias("q"), F.col("dx").alias("n_dx"), F.col("dy").alias("n_dy"))
+    met = nearest(candidates.select("scene", "id", F.col("ref_x").alias("x"), F.col("ref_y").alias("y")), near, k=k, cell=500.0, within=radius)
     mean = met.groupBy("scene", "id").agg(F.avg("n_dx").alias("mdx"), F.avg("n_dy").alias("mdy"))
     rows = displaced(candidates).join(mean, ["scene", "id"], "left")
     off = F.sqrt(F.pow(F.col("dx") - F.col("mdx"), 2) + F.pow(F.col("dy") - F.col("mdy"), 2))

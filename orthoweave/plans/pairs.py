@@ -116,11 +116,20 @@ m AS (SELECT id, scene, avg(ndx) AS mx, avg(ndy) AS my FROM n WHERE k <= 5 GROUP
 SELECT d.id, d.scene FROM d LEFT JOIN m ON d.id = m.id AND d.scene = m.scene WHERE NOT is_anchor AND CASE WHEN mx IS NULL THEN confidence >= 0.65 ELSE sqrt(pow(dx - mx, 2) + pow(dy - my, 2)) < 10 END""",
 )
 def local_consistency(spark, sf_dir):
-    """Points of these rows stand 200 m apart in y, so that a radius of 100 m leaves each row to itself."""
+    """Points of these rows stand 200 m apart in y, so that a radius of 100 m leaves each row to itself, as the SQL asks.
+
+    The operator's rule with its own radius is ``local_consistency_5km``."""
     rows = match_pairs(spark, sf_dir)
     return pairs.locally_consistent(rows.filter(~F.col("is_anchor")), rows, radius=100.0, within_m=10.0).select("id", "scene")
 
 
+@query("J5 G10")
+def local_consistency_5km(spark, sf_dir):
+    """All neighbours within 5000 m, a tolerance of 50 m: the radius and limit of production. Too many for SQL."""
+    rows = match_pairs(spark, sf_dir)
+    return pairs.locally_consistent(rows.filter(~F.col("is_anchor")), rows).select("id", "scene")
+
+
 @query("A18", f"WITH {PAIRS}, v AS (SELECT scene, confidence AS v, sum(prec) AS w FROM pairs GROUP BY ALL), c AS (SELECT *, sum(w) OVER (PARTITION BY scene ORDER BY v) AS r, sum(w) OVER (PARTITION BY scene) AS t FROM v) SELECT scene, min(v) AS weighted_median FROM c WHERE r >= t / 2 GROUP BY scene")
 def weighted_median(spark, sf_dir):
     return pairs.weighted_median(match_pairs(spark, sf_dir), "confidence", "prec", by="scene")

@@ -94,6 +94,36 @@ def test_chamfer_is_the_true_minimum_however_far(spark):
         assert abs(pairs.chamfer(spark.createDataFrame(df)).first().chamfer_m - (soft(d.min(0)) + soft(d.min(1))) / 2) < 1e-6
 
 
+def test_local_consistency_looks_5_km_around(spark):
+    from orthoweave.plans import catalog
+    from orthoweave.sources.roles import match_pairs
+
+    sf = "/root/testdata/sf0.001"
+    g = match_pairs(spark, sf).toPandas().sort_values("id", ignore_index=True)
+
+    def brute(g):
+        want = set()
+        for _, h in g.groupby("scene"):
+            h = h.reset_index(drop=True)
+            ref, move = h[["ref_x", "ref_y"]].to_numpy(), h[["off_x", "off_y"]].to_numpy() - h[["ref_x", "ref_y"]].to_numpy()
+            for i in np.flatnonzero(~h.is_anchor.to_numpy(bool)):
+                d = np.hypot(*(ref - ref[i]).T)
+                near = [j for j in np.argsort(d, kind="stable")[:5] if d[j] < 5000]
+                if np.hypot(*(move[i] - move[near].mean(0))) < 50:
+                    want.add((h.id[i], h.scene[i]))
+        return want
+
+    got = [tuple(r) for r in catalog.queries()["local_consistency_5km"](spark, sf).collect()]
+    assert set(got) == brute(g) and len(got) == len(set(got))
+    g = g.groupby("scene").head(60).reset_index(drop=True)
+    g["ref_x"], g["ref_y"] = g.ref_x * 20, g.ref_y * 20
+    g["off_x"], g["off_y"] = g.ref_x + 3 * (np.arange(len(g)) % 30), g.ref_y
+    rows = spark.createDataFrame(g)
+    want = brute(g)
+    alone = lambda r: pairs.locally_consistent(rows.filter("NOT is_anchor"), rows, radius=r)
+    assert {(r.id, r.scene) for r in alone(5000.0).collect()} == want != {(r.id, r.scene) for r in alone(100.0).collect()}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 2000), st.floats(0, 2000)), max_size=60))
 def test_greedy_dedup_is_apart_and_maximal(points):
