@@ -57,11 +57,21 @@ def prior_bounds_union(spark, sf_dir):
 
 @query("J1 J3", _S + ", a AS (SELECT * FROM scenes WHERE entity_id % 50 = 1), b AS (SELECT * FROM scenes WHERE entity_id % 50 = 2) SELECT a.entity_id AS left_id, b.entity_id AS right_id, greatest(a.west, b.west) AS west, greatest(a.south, b.south) AS south, least(a.east, b.east) AS east, least(a.north, b.north) AS north, (least(a.east, b.east) - greatest(a.west, b.west)) * (least(a.north, b.north) - greatest(a.south, b.south)) / ((b.east - b.west) * (b.north - b.south)) AS fraction FROM a JOIN b ON a.west < b.east AND b.west < a.east AND a.south < b.north AND b.south < a.north")
 def footprint_overlap(spark, sf_dir):
-    """Two missions' worth of footprints: those of two residues of the key."""
+    """A sample, as the SQL asks: scenes of one residue of the key against those of another.
+
+    All scenes are met by ``footprint_overlap_all``."""
     rows = scene_table(spark, sf_dir)
     return scenes.overlaps(rows.filter("entity_id % 50 = 1"), rows.filter("entity_id % 50 = 2"))
 
 
+@query("J1 J3")
+def footprint_overlap_all(spark, sf_dir):
+    """Every reference scene (designation A) against every offset scene (F), over the whole table. The rows grow with the
+    square of the scenes, too many for SQL."""
+    rows = scene_table(spark, sf_dir)
+    return scenes.overlaps(rows.filter("designation = 'A'"), rows.filter("designation = 'F'"))
+
+
 _GRID = """g AS (SELECT i AS cell, 50.4::DOUBLE + (i % 50) * ((51.2::DOUBLE - 50.4::DOUBLE) / 50) + (51.2::DOUBLE - 50.4::DOUBLE) / 100 AS x, 25.4::DOUBLE + (i // 50) * ((26.2::DOUBLE - 25.4::DOUBLE) / 50) + (26.2::DOUBLE - 25.4::DOUBLE) / 100 AS y FROM range(2500) t(i)),
 near AS (SELECT * FROM scenes WHERE east > 50.4 AND west < 51.2 AND north > 25.4 AND south < 26.2),
 cov AS (SELECT mission, designation, count(DISTINCT cell) / 2500.0::DOUBLE AS coverage FROM near LEFT JOIN g ON x < east AND x >= west AND y < north AND y >= south GROUP BY ALL),

@@ -124,6 +124,23 @@ def test_local_consistency_looks_5_km_around(spark):
     assert {(r.id, r.scene) for r in alone(5000.0).collect()} == want != {(r.id, r.scene) for r in alone(100.0).collect()}
 
 
+def test_overlaps_of_all_scenes_are_those_of_brute_force(spark):
+    from orthoweave.plans import catalog
+    from orthoweave.sources.roles import scenes as scene_table
+
+    sf = "/root/testdata/sf0.001"
+    g = scene_table(spark, sf).toPandas()
+    a, b = (g[g.designation == d].reset_index(drop=True) for d in "AF")
+    assert len(a) + len(b) == len(g)
+    side = lambda c, f: f(a[c].to_numpy()[:, None], b[c].to_numpy()[None, :])
+    w, s, e, n = side("west", np.maximum), side("south", np.maximum), side("east", np.minimum), side("north", np.minimum)
+    i, j = np.nonzero((w < e) & (s < n))
+    part = ((e - w) * (n - s))[i, j] / ((b.east - b.west) * (b.north - b.south)).to_numpy()[j]
+    want = pd.DataFrame({"left_id": a.entity_id.to_numpy()[i], "right_id": b.entity_id.to_numpy()[j], "fraction": part}).sort_values(["left_id", "right_id"], ignore_index=True)
+    got = catalog.queries()["footprint_overlap_all"](spark, sf).toPandas().sort_values(["left_id", "right_id"], ignore_index=True)
+    assert len(got) == len(want) > 1000 and (got.left_id == want.left_id).all() and (got.right_id == want.right_id).all() and np.allclose(got.fraction, want.fraction)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 2000), st.floats(0, 2000)), max_size=60))
 def test_greedy_dedup_is_apart_and_maximal(points):
