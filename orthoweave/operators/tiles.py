@@ -62,7 +62,12 @@ def cloudy(px: DataFrame, *, bright: float = 0.85, texture: float = 0.15) -> Dat
 
 def correlation(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     """tile, other, zncc of pixels (…, px) that aren't 0 in both: -1 below 16 of them, 0 if either is flat."""
-    both = a.join(b.withColumnRenamed("tile", "other").withColumnRenamed("px", "py"), on).filter((F.col("px") != 0) & (F.col("py") != 0))
+    return correlated(a.join(b.withColumnRenamed("tile", "other").withColumnRenamed("px", "py"), on))
+
+
+def correlated(met: DataFrame) -> DataFrame:
+    """tile, other, zncc of pixels that meet (tile, px, other, py), as in correlation."""
+    both = met.filter((F.col("px") != 0) & (F.col("py") != 0))
     x, y = F.col("px"), F.col("py")
     got = both.groupBy("tile", "other").agg(F.count("*").alias("n"), F.covar_pop(x, y).alias("cov"), F.var_pop(x).alias("vx"), F.var_pop(y).alias("vy"))
     flat = (F.col("vx") * F.col("n") < 1e-12) | (F.col("vy") * F.col("n") < 1e-12)

@@ -141,6 +141,16 @@ def test_overlaps_of_all_scenes_are_those_of_brute_force(spark):
     assert len(got) == len(want) > 1000 and (got.left_id == want.left_id).all() and (got.right_id == want.right_id).all() and np.allclose(got.fraction, want.fraction)
 
 
+def test_every_two_tiles_of_a_strip_are_correlated(spark):
+    from orthoweave.plans import catalog
+    from orthoweave.sources.roles import pixels
+
+    sf = "/root/testdata/sf0.001"
+    strip = dict(pixels(spark, sf).select("tile", "strip").distinct().collect())
+    got = {(r.tile, r.other) for r in catalog.queries()["tile_correlation_all"](spark, sf).collect()}
+    assert got == {(a, b) for a in strip for b in strip if a < b and strip[a] == strip[b]} and any(a % 10 for a, _ in got)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 2000), st.floats(0, 2000)), max_size=60))
 def test_greedy_dedup_is_apart_and_maximal(points):
