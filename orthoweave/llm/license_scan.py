@@ -10,6 +10,9 @@ names has the first by name; no rows give none; with no known licence nothing ma
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +98,45 @@ NOTICES = {
     "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
 }
 
+# First lines that a text may have or lack.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "FreeBSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: How many lines that aren't empty a longer text has for a title.
+HEADS = {"Apache-2.0": 3, "Artistic-1.0-Perl": 1, "CC0-1.0": 2, "MPL-1.1": 3} | {k: 2 for k in ("GFDL-1.2-only", "GFDL-1.3-only", "GPL-1.0-only", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0")}
+_END = re.compile(r"(?m)^.*END OF TERMS AND CONDITIONS.*$")
+
+
+def texts() -> list[tuple[str, str]]:
+    """License and text: entire texts, from KNOWN and the folder licenses, in the forms in which they are passed on.
+
+    These are with each title and without one, with the guide that follows some of them, without it and without the line
+    before it, and with lines as in the usual files or a line a paragraph: a line that begins with the word copyright is not
+    in the canonical form, so where lines break counts.
+    """
+    folder = Path(__file__).with_name("licenses")
+    bodies = [*KNOWN.items(), *((f.stem, f.read_text("utf-8")) for f in sorted(folder.glob("*.txt")))]
+    got = {}
+    for name, body in bodies:
+        lines = body.splitlines()
+        titles, start = TITLES.get(name, ()), 0
+        for _ in range(HEADS.get(name, 0)):
+            start += next(i for i, x in enumerate(lines[start:]) if x.strip()) + 1
+        end = _END.search(body)
+        for form in [body, "\n".join(lines[start:])]:
+            ends = [form] + ([form[: m.end()], form[: m.start()]] if end and (m := _END.search(form)) else [])
+            for x in ends:
+                for y in (x, re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", x)):
+                    for title in ("", *titles):
+                        got[name, f"{title}\n\n{y}"] = None
+    return list(got)
+
 
 def canonical(text: Column) -> Column:
     """The canonical form, a line end between blanks where lines part; leading and trailing blanks stay."""
@@ -119,7 +161,7 @@ def _spelled(form: Column) -> Column:
 
 def known(spark: SparkSession) -> DataFrame:
     """license, text: the built-in licences and notices."""
-    return spark.createDataFrame([*KNOWN.items(), *((v, k) for k, v in NOTICES.items())], "license string, text string")
+    return spark.createDataFrame([*texts(), *((v, k) for k, v in NOTICES.items())], "license string, text string")
 
 
 def scan(docs: DataFrame, licenses: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -63,6 +63,16 @@ def test_urls(spark):
 # 2
 
 
+def test_usual_licence_files_are_known(spark):
+    folder = license_scan.Path(license_scan.__file__).with_name("licenses")
+    files = {f.stem: f.read_text("utf-8") for f in sorted(folder.glob("*.txt"))} | {k: license_scan.KNOWN[k] for k in ("BSD-2-Clause", "Zlib")}
+    asked = [(k, t) for k, t in files.items()] + [(k, f"{title}\n\nCopyright (c) 2020 Me\n\n{files[k]}") for k, v in license_scan.TITLES.items() for title in v]
+    asked += [("Apache-2.0", files["Apache-2.0"].split("END OF TERMS")[0]), ("GPL-3.0-only", files["GPL-3.0-only"].split("Version 3, 29 June 2007")[1])]
+    got = {r.doc_id: r.license for r in license_scan.scan(frame(spark, [t for _, t in asked]), license_scan.known(spark)).collect()}
+    assert [got[i] for i in range(len(asked))] == [k for k, _ in asked]
+    assert license_scan.scan(frame(spark, [files["GPL-3.0-only"][:-200], "MIT License"]), license_scan.known(spark)).filter("license is not null").count() == 0
+
+
 def test_licenses(spark):
     mit = license_scan.KNOWN["MIT"]
     texts = [mit, "MIT Licence\nCopyright (c) 2020 Me", "Copyright 1999 X. All rights reserved.\n" + mit.upper().replace(",", " , "), "text\nReleased under the MIT licence!\nLicensed under CC BY-NC 4.0", mit + " more", *EDGES]
