@@ -46,8 +46,8 @@ _LOOSE = {
     "card": re.compile(r"(?<![0-9.])[0-9]{4}(?:[ ./_-]{1,3}[0-9]{2,6}){2,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+.])(?:00[ -]?[0-9]{1,3}[ .-]?|0)?\(?[0-9]{2,5}\)?(?:[ ./-]{1,2}[0-9]{2,5}){1,4}(?![0-9A-Za-z])"),
 }
-#: Where a loose pattern can match at all.
-_HINT = {"email": re.compile(r"@|\(at\)|\[at\]|\{at\}|dot[ )\]}]", re.I), "ip": re.compile(r"[0-9]"), "card": re.compile(r"[0-9]{4}"), "phone": re.compile(r"[0-9]{2}")}
+#: Where a loose pattern can match at all: what every match of it holds.
+_HINT = {"email": re.compile(r"@|\(at\)|\[at\]|\{at\}| at ", re.I), "ip": re.compile(r"[0-9]"), "card": re.compile(r"[0-9]{4}"), "phone": re.compile(r"[0-9]{2}")}
 _SAYS = {
     "email": re.compile(r"e-?mail|contact|write|reach|correo|courriel|address|mailto", re.I),
     "ip": re.compile(r"\bip\b|host|server|address|client|adresse", re.I),
@@ -123,8 +123,9 @@ def _example(kind: str, rng: random.Random) -> tuple[str, str, str, bool]:
     before = prose() + rng.choice([" ", ". ", ", "]) + (cue + rng.choice([": ", " "]) if rng.random() < (0.7 if yes else 0.05) else "")
     after = rng.choice([" ", ". ", ", "]) + prose()
     if kind == "email":
-        at, dot = rng.choice([(" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", "(dot)"), ("{at}", "{dot}")])
-        span = f"{word()}.{digit(2)}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'de'])}" if yes else f"{word()} at {word()}{rng.choice([' dot ', '. ', '.'])}{word()}"
+        at, dot = rng.choice([(" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", "(dot)"), ("{at}", "{dot}"), (" at ", "."), (" at ", " dot ")])
+        local = rng.choice([f"{word()}.{digit(2)}", f"{word()}.{word()}", f"{word()}_{word()}", f"{word()}.{word()}{digit(2)}"])
+        span = f"{local}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'de'])}" if yes else f"{word()} at {word()}{rng.choice([' dot ', '. ', '.'])}{word()}"
     elif kind == "ip":
         dot = rng.choice(["[.]", "(dot)", "[dot]"]) if yes else rng.choice([". ", " .", " . "])
         span = dot.join(str(rng.randint(0, 255 if yes else 999)) for _ in range(4))

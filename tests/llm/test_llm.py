@@ -129,6 +129,21 @@ def test_pii_trees_add_spans_and_leave_plain_numbers(spark):
     assert total > 300 and right / total > 0.97
 
 
+def test_addresses_with_a_plain_at_do_not_depend_on_the_rest_of_the_text():
+    chosen = pii.models()
+    for address in ("jane.doe at example.com", "john_smith at example dot org", "j.miller72 at uni dot de"):
+        for rest in ("", " or x@", " dot ) and more"):
+            text = f"please write to {address} soon{rest}"
+            assert ("email", 16, 16 + len(address)) in added_spans(text, chosen)
+    for text in ("we met at noon. then left", "he is at home. come in", "look at page.two of it"):
+        assert not added_spans(text, chosen)
+    rng = random.Random(5)
+    for _ in range(2000):
+        text = "".join(rng.choice(["a", "b.c", " at ", " AT ", "@", "(at)", "[At]", "{at}", " dot ", ".", " ", "com", "(dot)"]) for _ in range(9))
+        for kind, loose in pii._LOOSE.items():
+            assert not loose.search(text) or pii._HINT[kind].search(text)
+
+
 def added_spans(text, chosen):
     base, spans = pii.find(text, chosen)
     return set(spans) - set(base)
