@@ -68,9 +68,10 @@ def right_neighbours(matches: DataFrame, *, by: str) -> DataFrame:
 
 
 def chain(links: DataFrame, *, by: str, longest: int = 64) -> DataFrame:
-    """by, i, seq: frames in order from the leftmost along links (i, j); what no chain reaches is not in it.
+    """by, i, seq: frames in order from the leftmost along links (i, j), ``longest`` at most; what no chain reaches is not
+    in it. The order of all frames is ``frame_order``.
 
-    Steps are joins of the frames reached last, so a strip of any length needs one join a frame and never a cycle twice.
+    Steps are joins of the frames reached last, so there is one join a step and never a cycle twice.
     """
     start = links.join(links.select(by, F.col("j").alias("i")), [by, "i"], "left_anti").groupBy(by).agg(F.min("i").alias("i")).withColumn("seq", F.lit(0))
     got, last = start, start
@@ -81,6 +82,34 @@ def chain(links: DataFrame, *, by: str, longest: int = 64) -> DataFrame:
     return got
 
 
+def frame_order(frames: DataFrame, links: DataFrame, *, by: str) -> DataFrame:
+    """by, i, seq, overlap: every frame of frames (by, i) once, in the order of its strip, and its overlap with the one before.
+
+    links (by, i, j, overlap) give a frame one right neighbour at most. The chain begins at the first frame that is nobody's
+    right neighbour, or where there is none, in a cycle, at the strongest link, of equal ones at the first; it ends at a
+    frame without link or one that it has passed. Frames that it doesn't reach follow in their own order, with overlap 0.
+    A strip's frames are one row while they are put in order; the walk is as long as the strip has frames.
+    """
+    strips = frames.select(by, "i").unionByName(links.select(by, "i")).unionByName(links.select(by, F.col("j").alias("i"))).distinct().groupBy(by).agg(F.array_sort(F.collect_list("i")).alias("all"))
+    link = F.struct("i", F.struct("j", "overlap").alias("to"))
+    right = links.groupBy(by).agg(F.map_from_entries(F.collect_list(link)).alias("right"), F.collect_set("j").alias("claimed"), F.min_by("i", F.struct(-F.col("overlap"), F.col("i"))).alias("strongest"))
+    rows = strips.join(right, by, "left")
+    free = F.when(F.col("right").isNull(), F.col("all")).otherwise(F.array_except("all", "claimed"))
+    rows = rows.withColumn("start", F.coalesce(F.get(free, F.lit(0)), F.col("strongest")))
+    kind = dict(links.dtypes)["overlap"]
+    place = lambda i, overlap: F.struct(i.alias("i"), overlap.cast(kind).alias("overlap"))
+
+    def step(path, _):
+        to = F.try_element_at("right", F.element_at(path, -1)["i"])
+        ends = to.isNull() | F.exists(path, lambda x: x["i"] == to["j"])
+        return F.when(ends, path).otherwise(F.concat(path, F.array(place(to["j"], to["overlap"]))))
+
+    rows = rows.withColumn("path", F.aggregate("all", F.array(place(F.col("start"), F.lit(0))), step))
+    passed = F.transform("path", lambda x: x["i"])
+    left = F.transform(F.array_except("all", passed), lambda i: place(i, F.lit(0)))
+    return rows.select(by, F.posexplode(F.concat("path", left)).alias("seq", "at")).select(by, "at.i", "seq", "at.overlap")
+
+
 def offsets(frames: DataFrame, *, by: str) -> DataFrame:
     """frames (seq, width, overlap with the next) with x: where each begins on the strip's canvas."""
     before = W.partitionBy(by).orderBy("seq").rowsBetween(W.unboundedPreceding, -1)

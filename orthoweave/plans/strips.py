@@ -69,9 +69,18 @@ def right_neighbour_graph(spark, sf_dir):
 
 @query("O8 O9", f"WITH RECURSIVE {_M}, s AS (SELECT strip, min(i) AS i FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.strip = r.strip AND q.j = r.i) GROUP BY strip), c AS (SELECT strip, i, 0 AS seq FROM s UNION ALL SELECT c.strip, r.j, c.seq + 1 FROM c JOIN r ON r.strip = c.strip AND r.i = c.i WHERE c.seq < 7) SELECT strip, i, min(seq) AS seq FROM c GROUP BY strip, i")
 def frame_chain(spark, sf_dir):
+    """What the chain from the leftmost frame reaches, as the SQL asks; all frames are in ``frame_order``."""
     return strips.chain(strips.right_neighbours(_matches(spark, sf_dir), by="strip"), by="strip", longest=8)
 
 
+@query("O8 O9")
+def frame_order(spark, sf_dir):
+    """Every frame that a match names, disconnected ones and those of cycles too."""
+    matches = _matches(spark, sf_dir)
+    frames = matches.select("strip", "i").unionByName(matches.select("strip", F.col("j").alias("i")))
+    return strips.frame_order(frames, strips.right_neighbours(matches, by="strip"), by="strip")
+
+
 @query("B123", "WITH l AS (SELECT l_orderkey AS strip, l_linenumber AS seq, max(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL) SELECT strip, seq, CAST(coalesce(sum(1000 + q - q * 3) OVER (PARTITION BY strip ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS x FROM l")
 def canvas_offsets(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("strip"), F.col("l_linenumber").alias("seq")).agg(F.max(F.col("l_quantity").cast("long")).alias("q"))

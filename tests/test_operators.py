@@ -151,6 +151,33 @@ def test_every_two_tiles_of_a_strip_are_correlated(spark):
     assert got == {(a, b) for a in strip for b in strip if a < b and strip[a] == strip[b]} and any(a % 10 for a, _ in got)
 
 
+def test_frame_order_loses_no_frame(spark):
+    from orthoweave.operators import strips
+
+    rng = np.random.default_rng(8)
+    links = [("long", i, i + 1, 5) for i in range(99)] + [("cycle", 1, 2, 4), ("cycle", 2, 3, 9), ("cycle", 3, 1, 4), ("two", 1, 2, 3), ("two", 5, 4, 3)]
+    frames = [("two", 9), ("alone", 3), ("alone", 1)]
+    for k in range(40):
+        n, to = 7, rng.permutation(7)
+        links += [(f"r{k}", i, int(to[i]), int(rng.integers(1, 50))) for i in range(n) if to[i] != i and rng.random() < 0.8]
+        frames += [(f"r{k}", i) for i in range(n)]
+    want = {}
+    for s in {x[0] for x in links + frames}:
+        mine = {i: (j, o) for t, i, j, o in links if t == s}
+        every = sorted({i for t, i in frames if t == s} | set(mine) | {j for j, _ in mine.values()})
+        free = [i for i in every if i not in {j for j, _ in mine.values()}]
+        at = free[0] if free else max(sorted(mine), key=lambda k: mine[k][1])
+        path = [(at, 0)]
+        while at in mine and mine[at][0] not in {i for i, _ in path}:
+            path.append(mine[at])
+            at = mine[at][0]
+        path += [(i, 0) for i in every if i not in {j for j, _ in path}]
+        want |= {(s, k): x for k, x in enumerate(path)}
+    got = strips.frame_order(spark.createDataFrame(frames, "strip string, i long"), spark.createDataFrame(links, "strip string, i long, j long, overlap long"), by="strip").collect()
+    assert {(r.strip, r.seq): (r.i, r.overlap) for r in got} == want and len(got) == len(want)
+    assert [want["cycle", k][0] for k in range(3)] == [2, 3, 1] and ("long", 99) in want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 2000), st.floats(0, 2000)), max_size=60))
 def test_greedy_dedup_is_apart_and_maximal(points):
