@@ -2,18 +2,24 @@
 
 Documents are sets of word shingles. In each of TREES independent trees a document follows the path of its minwise
 tokens; a node branches until it holds LEAF documents at most. The documents of a small node are compared exhaustively
-by sketches of their minhashes; likely pairs form clusters, whose spanning links are confirmed on full sets. Clusters
-that then still lie in several components have every pair between components confirmed too, so no link that a tree has
-brought together is lost, while a large group of copies takes about one comparison a document and tree.
+by sketches of their minhashes; likely pairs form clusters, whose spanning links are confirmed on full sets.
+
+Clusters that then still lie in several components, and nodes that no level splits, become families. In a family each
+document is held as its difference from the consensus, the shingles that most of the family have. Two documents with
+differences x and y are alike enough if x and y share (excess(x) + excess(y)) / 2 shingles, where the excess is the size of
+the difference less what the limit allows a set of that size. So the document of least excess is linked with all that need
+no shared difference, and the others meet by the rarest shingles of their differences, cut to the prefix that a link must
+touch, with a bound on positions: all links of a family are found, while copies of one text make no pairs.
 
 A pair at the limit of 0.8 follows one path to depth d with probability 0.8^d in each of 16 trees: it is missed with
 probability 8e-8 at depth 2 and 2e-4 at depth 4. The sketch drops it with probability 1e-7. Equal sets are put together
-beforehand. A node that no level splits is dealt out in blocks by a hash, and counts as one cluster afterwards.
+beforehand. A node that no level splits is dealt out in blocks by a hash for the first links.
 
 Cases: null text and text without a word: an empty set, linked with nothing; fewer words than a shingle: the words as one
-shingle; rows of one doc_id are one document; rows with a null doc_id are compared as well, and their group has the
-smallest id of the others, or null; no rows give none; extra columns are ignored. Words and shingles are compared by
-64-bit hashes, equal sets by 128 bits.
+shingle; a very long text has to fit in a worker's memory; rows of one doc_id are one document; rows with a null doc_id, or
+one that is no integer, are compared as well, and their group has the smallest id of the others, or null; equal texts are
+linked whatever their number; of ties the smallest id counts; no rows give none; extra columns are ignored. Words and
+shingles are compared by 64-bit hashes, equal sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -32,8 +38,8 @@ from orthoweave.llm.components import components
 
 #: Trees, levels of a tree, documents of a small node; agreeing minhashes (of TREES * LEVELS) that make a pair likely.
 TREES, LEVELS, LEAF, LIKELY = 16, 4, 64, 32
-#: Documents whose ids are sent to every executor when sets are built again; more are joined by shuffle.
-BROADCAST_IDS = 500_000
+#: A shingle is known to be frequent in a family if one in so many of its documents has it; shingles dealt to a task at once.
+FREQUENT, SEAT = 16, 1 << 20
 #: Ids of rows without one start here.
 NAMELESS = 2**62
 #: Hashed words that a task remembers.
@@ -41,7 +47,7 @@ REMEMBERED = 1 << 16
 
 
 def uid(doc_id: Column, text: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(NAMELESS) + F.pmod(F.xxhash64(text), F.lit(2**61)))
+    return F.coalesce(doc_id.try_cast("long"), F.lit(NAMELESS) + F.pmod(F.xxhash64(text), F.lit(2**61)))
 
 
 @functools.cache
@@ -116,7 +122,7 @@ def _confirm(percent: int):
                 at = np.searchsorted(large, small)
                 common = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
                 keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.drop_columns(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -187,31 +193,75 @@ def _cluster(percent: int):
     return run
 
 
-def _across(percent: int):
-    """Links between left-over documents and others of another component, on full sets, within blocks."""
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of a batch's documents of each family have a shingle."""
+    for batch in batches:
+        main = batch.column("main").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("set")]
+        for m in np.unique(main):
+            token, count = np.unique(np.concatenate([sets[i] for i in np.flatnonzero(main == m)]), return_counts=True)
+            yield pa.record_batch({"main": pa.array(np.full(len(token), m)), "token": pa.array(token), "c": pa.array(count.astype(np.int64))})
+
+
+def _differences(percent: int):
+    """Rows sorted by seat, in each first the frequent shingles of its family: every set's difference from the consensus.
+
+    Rare shingles come first: those added to the consensus by their count (0 if not frequent), those that are missing from
+    it, as complements, by the number of documents that miss them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches):
-            node, rep, label = (batch.column(c).to_numpy() for c in ("node", "rep", "label"))
-            rest = batch.column("rest").to_numpy(zero_copy_only=False).astype(bool)
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("set")]
-            size = np.array([len(x) for x in sets])
-            a, b = [rep[:0]], [rep[:0]]
-            for at in np.split(np.arange(len(node)), np.flatnonzero(node[1:] != node[:-1]) + 1):
-                asks, told = at[rest[at]], at[~rest[at]]
-                if not len(asks) or not len(told):
+        known = count = agreed = None
+        size = 0
+        for batch in batches:
+            got = []
+            for i, (of, tokens) in enumerate(zip(batch.column("size").to_pylist(), batch.column("tokens"), strict=True)):
+                if tokens.is_valid:
+                    size, known, count = of, tokens.values.to_numpy(), batch.column("counts")[i].values.to_numpy()
+                    order = np.argsort(known)
+                    known, count = known[order], count[order]
+                    agreed = 2 * count > size
                     continue
-                known = np.unique(np.concatenate([sets[i] for i in asks]))
-                has = np.zeros((len(known), len(asks)), np.uint8)
-                for k, i in enumerate(asks):
-                    has[np.searchsorted(known, sets[i]), k] = 1
-                for j in told:
-                    spot = np.minimum(np.searchsorted(known, sets[j]), len(known) - 1)
-                    common = has[spot[known[spot] == sets[j]]].sum(0, dtype=np.int64)
-                    linked = asks[(100 * common >= percent * (size[asks] + size[j] - common)) & (common > 0) & (label[asks] != label[j])]
-                    a.append(np.minimum(rep[linked], rep[j]))
-                    b.append(np.maximum(rep[linked], rep[j]))
-            yield pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+                own = np.sort(np.frombuffer(batch.column("set")[i].as_buffer(), np.int64))
+                spot = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+                there = known[spot] == own if len(known) else np.zeros(len(own), bool)
+                extra = ~there | ~agreed[spot] if len(known) else ~there
+                missed = agreed.copy()
+                missed[spot[there]] = False
+                rank = np.concatenate([np.where(there, count[spot] if len(known) else 0, 0)[extra], size - count[missed]])
+                token = np.concatenate([own[extra], ~known[missed]])
+                token = token[np.lexsort((token, rank))]
+                got.append((i, (100 + percent) * len(token) - (100 - percent) * len(own), token.tobytes()))
+            at = pa.array([g[0] for g in got], pa.int64())
+            yield pa.record_batch({**{c: batch.column(c).take(at) for c in ("main", "rep", "label")}, "excess": pa.array([g[1] for g in got], pa.int64()), "delta": pa.array([g[2] for g in got], pa.binary())})
+
+    return run
+
+
+def _prefixes(percent: int):
+    """Rows that ask and rows that are told: the shingles of differences one of which a linked pair shares.
+
+    Documents that aren't linked with the one of least excess ask all the others (kind 0) and one another (kind 1).
+    """
+    unit = 2 * (100 + percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list[np.ndarray]] = [[] for _ in range(4)]
+            for i, (main, excess, asks, least, next_) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("main", "excess", "asks", "least", "next")), strict=True)):
+                token = np.frombuffer(batch.column("delta")[i].as_buffer(), np.uint64)
+                for kind, ask, other in ((0, True, least), (1, True, next_), (1, False, next_)) if asks else ((0, False, next_),):
+                    if other is None:
+                        continue
+                    n = max(0, len(token) - max(1, -(-(excess + other) // unit)) + 1)
+                    key = (token[:n] ^ np.uint64((main * 2 + kind) % 2**64)) * np.uint64(0x9E3779B97F4A7C15)
+                    cols[0].append((key ^ (key >> np.uint64(31))).view(np.int64))
+                    cols[1].append(np.full(n, i))
+                    cols[2].append(len(token) - np.arange(n))
+                    cols[3].append(np.full(n, ask))
+            key, row, left, ask = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols)
+            row = pa.array(row, pa.int64())
+            yield pa.record_batch({"key": pa.array(key), **{c: batch.column(c).take(row) for c in ("main", "rep", "now", "excess")}, "left": pa.array(left, pa.int64()), "ask": pa.array(ask.astype(bool))})
 
     return run
 
@@ -235,24 +285,57 @@ def leaves(reps: DataFrame, levels: int = LEVELS, leaf: int = LEAF) -> tuple[Dat
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """uid, set of the documents whose uid is in wanted (column w)."""
-    few = wanted.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, docs["uid"] == wanted["w"], "left_semi")
+    texts = docs.join(wanted, docs["uid"] == wanted["w"], "left_semi")
     return materialize(texts.mapInArrow(_sets(k), "uid long, set binary"), "sets")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
-    sets = _sets_of(materialize(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted"), docs, k)
     x = sets.select(F.col("uid").alias("ux"), F.col("set").alias("x"))
     y = sets.select(F.col("uid").alias("uy"), F.col("set").alias("y"))
-    both = pairs.join(x, F.col("a") == F.col("ux")).select("a", "b", "x").join(y, F.col("b") == F.col("uy")).select("a", "b", "x", "y")
-    return materialize(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
+    both = pairs.join(x, F.col("a") == F.col("ux")).drop("ux").join(y, F.col("b") == F.col("uy")).drop("uy")
+    return materialize(both.mapInArrow(_confirm(percent), pairs.schema), "links")
+
+
+def family_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: labels of a family's documents (main, rep, label, n) that are linked, of all pairs with different labels."""
+    sizes = family.groupBy("main").agg(F.count("*").alias("size"), (F.sum("n") / SEAT).cast("long").alias("seats"))
+    sizes = materialize(sizes.withColumnRenamed("main", "of"), "sizes")
+    seated = family.join(sizes, family["main"] == sizes["of"]).withColumn("seat", F.xxhash64("main", F.pmod(F.xxhash64("rep"), F.col("seats") + 1))).drop("of", "seats", "n")
+    held = materialize(seated.join(sets, seated["rep"] == sets["uid"]).drop("uid"), "held")
+    counts = held.select("main", "set").mapInArrow(_counts, "main long, token long, c long").groupBy("main", "token").agg(F.sum("c").alias("c"))
+    often = counts.join(sizes, counts["main"] == sizes["of"]).filter(F.col("c") * FREQUENT >= F.col("size"))
+    often = often.groupBy("main", "size", "seats").agg(F.collect_list(F.struct("token", "c")).alias("known"))
+    often = often.withColumn("salt", F.explode(F.expr("sequence(0L, seats)"))).select(F.xxhash64("main", "salt").alias("seat"), "main", "size", F.col("known.token").alias("tokens"), F.col("known.c").alias("counts"))
+    rows = held.unionByName(often, allowMissingColumns=True).repartition("seat").sortWithinPartitions("seat", F.col("rep").isNotNull())
+    delta = materialize(rows.mapInArrow(_differences(percent), "main long, rep long, label long, excess long, delta binary"), "differences")
+
+    plain = delta.select("main", "rep", "label", "excess")
+    first = plain.groupBy("main").agg(F.min(F.struct("excess", "rep", "label")).alias("p")).select(F.col("main").alias("of"), F.col("p.excess").alias("least"), F.col("p.label").alias("lead"))
+    first = materialize(first, "leads")
+    # now: the label after the links with the document of least excess.
+    near = F.col("excess") + F.col("least") <= 0
+    now = F.when(near, F.col("lead")).otherwise(F.col("label"))
+    told = lambda df: df.join(first, df["main"] == first["of"]).drop("of").withColumn("now", now).withColumn("asks", F.col("now") != F.col("lead"))
+    found = told(plain)
+    links = found.filter(near & (F.col("label") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("label").alias("b"))
+    after = materialize(found.filter("asks").groupBy("main").agg(F.min("excess").alias("next")).withColumnRenamed("main", "of"), "after")
+    left = told(delta)
+    rows = left.join(after, left["main"] == after["of"]).mapInArrow(_prefixes(percent), "key long, main long, rep long, now long, excess long, left long, ask boolean")
+    rows = materialize(rows, "prefixes")
+    x = rows.filter("ask").select("key", *[F.col(c).alias(f"x_{c}") for c in ("main", "rep", "now", "excess", "left")])
+    y = rows.filter("not ask").select(F.col("key").alias("at"), *[F.col(c).alias(f"y_{c}") for c in ("main", "rep", "now", "excess", "left")])
+    meet = (x["key"] == y["at"]) & (F.col("x_main") == F.col("y_main")) & (F.col("x_now") != F.col("y_now"))
+    meet &= F.least("x_left", "y_left") * 2 * (100 + percent) >= F.col("x_excess") + F.col("y_excess")
+    pairs = x.join(y, meet).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"), F.when(F.col("x_rep") < F.col("y_rep"), F.col("x_now")).otherwise(F.col("y_now")).alias("la"), F.when(F.col("x_rep") < F.col("y_rep"), F.col("y_now")).otherwise(F.col("x_now")).alias("lb"))
+    more = _links(materialize(pairs.distinct(), "pairs"), sets, percent)
+    return materialize(links.unionByName(more.select(F.col("la").alias("a"), F.col("lb").alias("b"))).distinct(), "family-links")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, levels: int = LEVELS, leaf: int = LEAF) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and uid (the id, or what stands for it), one row for each of docs."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), uid(F.col(doc_id), F.col(text)).alias("uid"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).try_cast("long").alias("doc_id"), uid(F.col(doc_id), F.col(text)).alias("uid"), F.col(text).alias("text"))
     signed = materialize(rows.mapInArrow(_sign(shingle), "doc_id long, uid long, n long, digest binary, sig binary"), "signed")
     first = materialize(signed.filter("n > 0").groupBy("digest").agg(F.min("uid").alias("rep")).withColumnRenamed("digest", "d"), "first")
     member = signed.join(first, signed["digest"] == first["d"], "left").drop("d", "digest")
@@ -269,35 +352,23 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     seated = seats.join(looks, seats["rep"] == looks["r"]).select("node", "rep", "n", "sketch")
     clustered = seated.repartition("node").sortWithinPartitions("node").mapInArrow(_cluster(percent), "node long, first long, a long, b long")
     clusters = materialize(clustered, "clusters")
-    plain = rows.select("uid", "text")
-    links = _links(clusters.select("a", "b").distinct(), plain, shingle, percent)
-    label = materialize(components(links), "components1")
+    edges = clusters.select("a", "b").distinct()
+    wanted = clusters.select(F.explode(F.array("a", "b")).alias("w")).unionByName(unsplit.select(F.col("rep").alias("w"))).distinct()
+    sets = _sets_of(materialize(wanted, "wanted"), rows.select("uid", "text"), shingle)
+    label = materialize(components(_links(edges, sets, percent)), "components1")
 
-    # A cluster or an unsplit node that still lies in several components: what its largest one leaves over meets, on full
-    # sets and block by block, all of that component and all else that is left over beside it.
     inside = clusters.select("node", "first", F.explode(F.array("a", "b")).alias("rep")).distinct().unionByName(unsplit.select("node", F.col("node").alias("first"), "rep"))
     inside = inside.join(label, inside["rep"] == label["node"], "left").select(inside["node"], "first", "rep", F.coalesce("component", "rep").alias("label"))
     inside = materialize(inside, "inside")
-    top = inside.groupBy("node", "first", "label").agg(F.count("*").alias("c")).groupBy("node", "first").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels"))
-    over = materialize(top.filter("labels > 1").select(F.col("node").alias("on"), F.col("first").alias("of"), F.col("top.label").alias("main")), "over")
-    rest = inside.join(over, (inside["node"] == over["on"]) & (inside["first"] == over["of"])).filter("label <> main").select("main", "rep", "label").distinct()
-    rest = materialize(rest, "rest")
-    if not rest.isEmpty():
-        mains = materialize(rest.select(F.col("main").alias("c")).distinct(), "mains")
-        full = label.join(mains, label["component"] == mains["c"], "left_semi").select(F.col("component").alias("main"), F.col("node").alias("rep"))
-        full = full.unionByName(mains.select(F.col("c").alias("main"), F.col("c").alias("rep"))).distinct().withColumn("label", F.col("main"))
-        told = materialize(full.unionByName(rest), "told")
-        n_of = lambda df, name: df.groupBy("main").agg(F.ceil(F.count("*") / leaf).alias(name))
-        n = materialize(n_of(rest, "ni").join(n_of(told, "nj"), "main").select(F.col("main").alias("c"), "ni", "nj"), "blocks")
-        sets = _sets_of(materialize(told.select(F.col("rep").alias("w")).distinct(), "wanted"), plain, shingle)
-        spot = lambda of: F.pmod(F.xxhash64("rep"), F.col(of))
-        each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-        asks = rest.join(n, rest["main"] == n["c"]).select("main", "rep", "label", spot("ni").alias("i"), each("nj").alias("j"), F.lit(True).alias("rest"))
-        answers = told.join(n, told["main"] == n["c"]).select("main", "rep", "label", each("ni").alias("i"), spot("nj").alias("j"), F.lit(False).alias("rest"))
-        grid = asks.unionByName(answers).select(F.xxhash64("main", "i", "j").alias("node"), "rep", "label", "rest")
-        grid = grid.join(sets, grid["rep"] == sets["uid"]).select("node", "rep", "label", "rest", "set")
-        across = materialize(grid.repartition("node").sortWithinPartitions("node").mapInArrow(_across(percent), "a long, b long").distinct(), "across")
-        label = materialize(components(links.unionByName(across)), "components2")
+    top = inside.groupBy("node", "first", "label").agg(F.count("*").alias("c")).groupBy("node", "first").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("size"), F.count("*").alias("labels"))
+    # Two documents of a cluster have been compared already.
+    over = materialize(top.filter("labels > 1 and size > 2").select(F.col("node").alias("on"), F.col("first").alias("of"), F.col("top.label").alias("main")), "over")
+    if not over.isEmpty():
+        family = inside.join(over, (inside["node"] == over["on"]) & (inside["first"] == over["of"])).select("main", "rep", "label").distinct()
+        family = materialize(family.join(looks.select("r", "n"), family["rep"] == F.col("r")).drop("r"), "family")
+        joined = components(family_links(family, sets, percent)).select(F.col("node").alias("old"), F.col("component").alias("new"))
+        label = label.unionByName(joined.select(F.col("old").alias("node"), F.col("old").alias("component"))).distinct()
+        label = materialize(label.join(joined, label["component"] == joined["old"], "left").select("node", F.coalesce("new", "component").alias("component")).distinct(), "components2")
 
     got = member.join(label, member["rep"] == label["node"], "left")
     component = F.coalesce("component", "rep", "uid")
