@@ -39,7 +39,7 @@ from orthoweave.llm.components import components
 #: Trees, levels of a tree, documents of a small node; agreeing minhashes (of TREES * LEVELS) that make a pair likely.
 TREES, LEVELS, LEAF, LIKELY = 16, 4, 64, 32
 #: A shingle is known to be frequent in a family if one in so many of its documents has it; shingles dealt to a task at once.
-FREQUENT, SEAT = 16, 1 << 20
+FREQUENT, SEAT = 16, 1 << 16
 #: Ids of rows without one start here.
 NAMELESS = 2**62
 #: Hashed words that a task remembers.

@@ -1,23 +1,27 @@
 """PII: base patterns, and beyond them spans that boosted trees choose among high-recall candidates.
 
 Candidate generators propose overlapping spans of looser form (an e-mail address written out, telephone numbers without
-a plus, card numbers with other separators, spaced or bracketed addresses). Features of format and context go through
+a plus, card numbers with other separators, spaced or bracketed addresses, and secrets: values beside words like token or
+password, and long runs as keys and hashes are). Features of format and context go through
 gradient-boosted trees, one model a kind. The models learn from generated, labelled examples (EXAMPLES of them a kind,
 seeded), as no table has labels; the threshold of a kind is the lowest at which PRECISION is reached on generated
 examples held out from training. Of candidates that overlap each other the most likely one stays; base spans all stay,
-and a candidate that overlaps one is dropped.
+and a candidate that overlaps one is dropped. Base spans are of KINDS; a secret is a span of its own kind, listed last.
 
 Cases: a null text is an empty one without spans; texts are read whole; offsets are code points, the end exclusive; equal
-rows get equal spans; no rows give none; extra columns pass through (an input column named like an output column is
-replaced).
+rows get equal spans; of candidates that are equally likely the first stays; no rows give none; extra columns pass through
+(an input column named like an output column, in whatever case, is replaced).
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,8 @@ from orthoweave.llm.boosting import BoostedTrees
 from orthoweave.llm.common import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
+ALL_KINDS = (*KINDS, SECRET)
 #: Generated examples a kind, their seed, precision of the calibrated thresholds, characters of context on either side.
 EXAMPLES, SEED, PRECISION, CONTEXT = 3000, 11, 0.995, 24
 
@@ -42,7 +48,7 @@ _DIGITS = re.compile(r"[^0-9]+")
 
 _LOOSE = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:@|\(at\)|\[at\]|\{at\}| at ) ?(?:[A-Za-z0-9-]{1,63} ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?){1,4}[A-Za-z]{2,24}(?![A-Za-z0-9])", re.I),
-    "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\[\.\]|\(dot\)|\[dot\]|\.) ?[0-9]{1,3}){3}(?![0-9.])"),
+    "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\[\.\]|\(dot\)|\[dot\]|\.) ?[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
     "card": re.compile(r"(?<![0-9.])[0-9]{4}(?:[ ./_-]{1,3}[0-9]{2,6}){2,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+.])(?:00[ -]?[0-9]{1,3}[ .-]?|0)?\(?[0-9]{2,5}\)?(?:[ ./-]{1,2}[0-9]{2,5}){1,4}(?![0-9A-Za-z])"),
 }
@@ -53,7 +59,11 @@ _SAYS = {
     "ip": re.compile(r"\bip\b|host|server|address|client|adresse", re.I),
     "card": re.compile(r"card|visa|master|amex|credit|debit|karte|carte|tarjeta|payment", re.I),
     "phone": re.compile(r"tel|phone|call|mobil|fax|cell|whatsapp|contact|sms|ruf", re.I),
+    SECRET: re.compile(r"pass(?:wor[dt]|wd|phrase)?\b|pwd|secret|token|\w*key|auth\w*|credential|bearer|clave|schlüssel|kennwort", re.I),
 }
+#: A run as keys and hashes are, and the value that is given to a name; the latter may be shorter.
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9+/_=-])")
+_GIVEN = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|key|auth\w{0,20}|credentials?|bearer)[\"'\]]? {0,3}(?::=|=>|[=:]) {0,3}[\"']?([^\s\"'<>,;]{6,}+)", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -97,10 +107,35 @@ def candidates(text: str) -> Iterator[tuple[str, int, int]]:
         if _HINT[kind].search(text):
             for m in loose.finditer(text):
                 yield kind, m.start(), m.end()
+    yield from dict.fromkeys(secrets(text))
+
+
+def secrets(text: str) -> Iterator[tuple[str, int, int]]:
+    if any(len(w) >= 16 for w in text.split()):
+        for m in _RUN.finditer(text):
+            yield SECRET, m.start(), m.end()
+    if "=" in text or ":" in text:
+        for m in _GIVEN.finditer(text):
+            yield SECRET, m.start(1), m.end(1)
+
+
+def secret_features(text: str, a: int, b: int) -> list[float]:
+    span, left, right = text[a:b], text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT]
+    n, of = b - a, Counter(span)
+    digits, upper, lower = (sum(f(c) for c in span) for f in (str.isdigit, str.isupper, str.islower))
+    changes = sum((x.isdigit() != y.isdigit()) or (x.isupper() != y.isupper()) for x, y in zip(span, span[1:]))
+    cue = _SAYS[SECRET].search(left)
+    return [
+        n, digits / n, upper / n, lower / n, changes / n, -sum(v / n * math.log2(v / n) for v in of.values()), len(of) / n,
+        sum(c in "0123456789abcdefABCDEF" for c in span) / n, sum(c in "+/=" for c in span) / n, sum(c in "-_." for c in span) / n,
+        cue is not None, left.rstrip(" \"'")[-1:] in ("=", ":", ">"), left[-1:] in ('"', "'") and right[:1] == left[-1:], right[:1].isalnum(), n % 8 == 0, max(map(len, re.split("[^A-Za-z]+", span))) / n,
+    ]
 
 
 def features(text: str, kind: str, a: int, b: int) -> list[float]:
     span, left, right = text[a:b], text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT]
+    if kind == SECRET:
+        return secret_features(text, a, b)
     digits = _DIGITS.sub("", span)
     runs = [len(r) for r in re.findall(r"[0-9]+", span)] or [0]
     signs = re.findall(r"[^0-9A-Za-z]+", span)
@@ -118,6 +153,8 @@ def _example(kind: str, rng: random.Random) -> tuple[str, str, str, bool]:
     digit = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     word = lambda: "".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randint(2, 9)))
     prose = lambda: " ".join(word() for _ in range(rng.randint(1, 5)))
+    if kind == SECRET:
+        return _secret_example(rng, word, prose)
     cue = {"email": "email", "ip": "server ip", "card": "card", "phone": "tel"}[kind]
     yes = rng.random() < 0.5
     before = prose() + rng.choice([" ", ". ", ", "]) + (cue + rng.choice([": ", " "]) if rng.random() < (0.7 if yes else 0.05) else "")
@@ -134,10 +171,9 @@ def _example(kind: str, rng: random.Random) -> tuple[str, str, str, bool]:
         if yes:
             body += next(c for c in "0123456789" if luhn(body + c))
         else:
-            body += digit(1)
+            body += rng.choice([c for c in "0123456789" if not luhn(body + c)])
         sep = rng.choice([".", "/", "_", "  ", " - "])
         span = sep.join(body[i : i + 4] for i in range(0, 16, 4))
-        yes = yes or (luhn(body) and False)
     elif yes:
         span = rng.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "0{}/{} {}", "0{} {} {}"]).format(digit(3), digit(3), digit(4))
     else:
@@ -147,11 +183,36 @@ def _example(kind: str, rng: random.Random) -> tuple[str, str, str, bool]:
     return before, span, after, yes
 
 
+def _secret_example(rng: random.Random, word, prose) -> tuple[str, str, str, bool]:
+    """Keys, hashes and passwords; against them words, numbers, paths, names and plain settings."""
+    of = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    letters = upper + upper.lower()
+    yes = rng.random() < 0.5
+    after = rng.choice([" ", ". ", ", ", "\n", "!! ", "### "]) + prose()
+    name = rng.choice(["token", "secret", "password", "passwd", "api_key", "access key", "key", "auth", "TOKEN", "PASSWORD", "Bearer", "API_KEY"])
+    sign, quote = rng.choice([" = ", "=", ": ", ":"]), rng.choice(['"', "'", ""])
+    before = prose() + rng.choice([" ", ". ", "\n"])
+    if yes and rng.random() < 0.75:
+        short = of(letters, 4) + of(digits, rng.randint(2, 4)) + rng.choice("!#%?x") + of(letters, rng.randint(0, 6))
+        span = rng.choice([of(digits + "abcdef", rng.choice([32, 40, 64])), of(digits + "ABCDEF", rng.choice([32, 40, 64])), of(letters + digits + "+/", rng.randint(20, 64)), of(letters + digits + "_-", rng.randint(20, 48)), short])
+        return before + name + sign + quote, span, quote + after, True
+    if yes:
+        span = rng.choice([of(digits + "abcdef", rng.choice([32, 40, 64])), of(digits + "ABCDEF", rng.choice([32, 40, 64])), of(letters + digits + "+/", rng.randint(32, 64)), "AKIA" + of(upper + digits, 16), "ghp_" + of(letters + digits, 36), "sk-" + of(letters + digits, 40)])
+        return before, span, after, True
+    if rng.random() < 0.3:
+        span = rng.choice([word() + word(), of(digits, rng.randint(6, 9)), "required", "disabled", word() + "_" + word(), f"{word()}.{word()}()", "os.environ"])
+        return before + rng.choice([name, "keyword", "monkey", "title", "author"]) + sign, span, after, False
+    long = "".join(word() for _ in range(rng.randint(3, 8)))
+    span = rng.choice([long, long.upper(), long.title(), "-".join(word() for _ in range(6)), "_".join(word() for _ in range(6)), "/".join(word() for _ in range(6)), of(digits, rng.randint(16, 40)), f"{of(digits, 4)}-{of(digits, 2)}-{of(digits, 2)}-{long}", "-" * rng.randint(16, 80), "_" * 30, "".join(word().title() for _ in range(4)), rng.choice(letters) * 40, "+".join(word() for _ in range(5)), long + of(digits, 2), f"{of(digits, 4)}/{of(digits, 2)}/{long}"])
+    return before, span, after, False
+
+
 @functools.cache
 def models(examples: int = EXAMPLES, seed: int = SEED) -> dict[str, tuple[BoostedTrees, float]]:
     """For each kind the trees, and the probability from which a candidate is redacted."""
     got = {}
-    for kind in KINDS:
+    for kind in ALL_KINDS:
         rng = random.Random(f"{seed}{kind}")
         x, y = [], []
         for _ in range(examples):
@@ -185,17 +246,34 @@ def find(text: str | None, chosen: dict[str, tuple[BoostedTrees, float]]) -> tup
         for p, (a, b) in zip(trees.predict(np.array([features(text, kind, a, b) for a, b in spans], np.float64)), spans, strict=True):
             if p >= least:
                 likely.append((-p, a, b, kind))
-    taken = sorted((a, b) for _, a, b in base)
-    added = []
-    if likely:
-        for _, a, b, kind in sorted(likely):
-            if not any(a < d and c < b for c, d in taken):
-                taken.append((a, b))
-                added.append((kind, a, b))
-    order = lambda s: (KINDS.index(s[0]), s[1])
+    taken = Taken((a, b) for _, a, b in base)
+    added = [(kind, a, b) for _, a, b, kind in sorted(likely) if taken.take(a, b)]
+    order = lambda s: (ALL_KINDS.index(s[0]), s[1])
     return sorted(base, key=order), sorted(base + added, key=order)
 
 
+class Taken:
+    """Disjoint places of a text, by start; those given at first may overlap."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def take(self, a: int, b: int) -> bool:
+        """Takes the place if all of it is free."""
+        i = bisect.bisect_right(self.starts, a)
+        if (i and self.ends[i - 1] > a) or (i < len(self.starts) and self.starts[i] < b):
+            return False
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+        return True
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -214,7 +292,7 @@ def detect(docs: DataFrame, *, text: str = "text") -> DataFrame:
         return pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
 
     new = {"n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"}
-    return docs.withColumn("__ow_p", found(F.col(text))).select(*[c for c in docs.columns if c not in new], "__ow_p.*")
+    return docs.withColumn("__ow_p", found(F.col(text))).select(*[c for c in docs.columns if c.lower() not in new], "__ow_p.*")
 
 
 def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
