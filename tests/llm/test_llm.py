@@ -363,6 +363,52 @@ def test_languages(spark):
     assert langid.identify(frame(spark, []), F.lit(True)).count() == 0
 
 
+def naive_grams(text):
+    """Each hash by the definition, one n-gram after the other."""
+    codes = [ord(c) if c.isalpha() else 32 for c in f" {text.lower()} "]
+    for order in (1, 2, 3):
+        for i in range(len(codes) - order + 1):
+            h = 0
+            for c in codes[i : i + order]:
+                h = (h * 0x01000193 ^ c * 0x9E3779B1) & 0xFFFFFFFF
+            yield ((h ^ (order * 0x85EBCA6B & 0xFFFFFFFF)) * 0xC2B2AE35 & 0xFFFFFFFF) >> 16
+
+
+def test_languages_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGS_AT_ONCE", 3)
+    tongues = [f"l{i}" for i in range(8)]
+    sound = {x: rnd.sample("abcdefghijklmnopqrstuvwxyzéßñ", 8) for x in tongues}
+    write = lambda x, n: "".join(rnd.choice([*sound[x], " "]) for _ in range(n))
+    teach = [(None, write(x, 60), x) for x in tongues for _ in range(4)] * 2 + [(None, "no language", None), (None, None, "l0")]
+    ask = [(i, write(rnd.choice(tongues), rnd.randint(1, 25)), None) for i in range(120)] + [(120, None, None), (121, "12", None), (122, "e", "l1")]
+    df = spark.createDataFrame(teach + ask[:-1], "doc_id long, text string, lang string").withColumn("LANG_PRED", F.lit("x"))
+    got = {r.doc_id: r for r in langid.identify(df, F.col("doc_id").isNull()).collect() if r.doc_id is not None}
+    counts = {x: collections.Counter(g for _, t, y in teach if y == x and t for g in naive_grams(t)) for x in tongues}
+    n_docs = {x: sum(y == x and t is not None for _, t, y in teach) for x in tongues}
+    for i, t, _ in ask[:-1]:
+        if not t or not any(map(str.isalpha, t)):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        log = {x: math.log(n_docs[x] / sum(n_docs.values())) + sum(math.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * 65536)) for g in naive_grams(t)) for x in tongues}
+        best = max(log.values())
+        assert log[got[i].lang_pred] == pytest.approx(best, abs=1e-3)
+        assert got[i].score == pytest.approx(1 / sum(math.exp(v - best) for v in log.values()), abs=1e-3)
+
+
+def test_many_languages(spark):
+    rows = spark.createDataFrame([(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)}", f"x{i:03}") for i in range(600)], "doc_id long, text string, lang string")
+    got = langid.identify(rows, F.lit(True)).collect()
+    assert sum(r.lang == r.lang_pred for r in got) > 590
+
+
+def test_recognised_goes_by_the_prediction(spark):
+    teach = [(i, w, x) for i, (w, x) in enumerate([("the thing that was there", "en"), ("der die das und nicht", "de"), ("le la les une est", "fr")] * 5)]
+    rows = spark.createDataFrame([*teach, (90, "was the thing there", None), (91, "und der die nicht", None), (92, "q", None), (93, None, "en"), (94, "..", "de")], "doc_id long, text string, lang string")
+    kept = lambda **o: {r.doc_id for r in langid.recognised(rows, **o).collect()} - set(range(15))
+    assert kept() == {90, 91} and kept(wanted=["de"]) == {91} and kept(least=0.0) == {90, 91, 92}
+    assert langid.recognised(rows, wanted=["de"]).columns == rows.columns and langid.recognised(rows.limit(0)).count() == 0
+
+
 def test_grams_do_not_depend_on_pieces(monkeypatch):
     text = prose(200)
     whole = np.sort(np.concatenate(list(langid.grams(text))))
