@@ -1,6 +1,10 @@
 """A training-corpus pipeline: language ID, near-dedup, decontamination, redaction and mixing, in that order.
 
-Each stage reads all that the one before has kept. Only documents whose language can't be told are rejected by the first.
+Each stage reads all that the one before has kept. The first rejects documents whose most likely language has less than
+half of the posterior, and those without text or letters. Nulls: a document without text goes at the first stage, a null
+doc_id, lang or source is kept as it is. Equal rows (of one id and text) are judged alike, and near-dedup keeps one of
+them. Empty tables give empty tables. Columns beyond those of documents pass through; a very long text has to fit in a
+worker's memory.
 """
 
 from __future__ import annotations
@@ -16,8 +20,8 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with text whose language is recognised; learns from all that have a language."""
-    return langid.identify(docs, F.lit(True)).filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    """Documents whose language is predicted with half of the posterior or more; learns from all that have a language."""
+    return langid.recognised(docs, least=0.5)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
