@@ -88,7 +88,8 @@ FROM w LEFT JOIN c ON w.doc_id = c.doc_id LEFT JOIN t ON w.doc_id = t.doc_id
 """
 
 _CHAT = """
-WITH r AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+WITH r AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn,
+  replace(translate(coalesce(role, 'unknown'), chr(13) || chr(10), '  '), '<|im_', '<\\|im_') AS speaker, replace(coalesce(text, ''), '<|im_', '<\\|im_') AS text FROM conversations),
 s AS (SELECT DISTINCT conv_id, speaker AS perspective FROM r WHERE speaker <> 'system'),
 t AS (SELECT r.conv_id, perspective, turn, speaker, text,
   '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user name=' || speaker END || chr(10) AS head
