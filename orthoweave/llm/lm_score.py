@@ -6,12 +6,15 @@ estimate and half the product of its children's, so a prediction mixes all depth
 scored as its A-Z lower-cased UTF-8 bytes between END bytes, which no text holds; the END after it is predicted too.
 
 Counts come from all training texts. Documents are dealt into chunks of about CHUNK bytes. A chunk sends each of its
-distinct words and byte n-grams once, packed by part of the key space; parts sum the counts, weigh the tree and send each
-chunk the figures for its own keys. So neither vocabulary nor tree is ever held in one place; only depths 0 and 1, at
-most 256 * 255 nodes, are broadcast.
+distinct words and byte n-grams once, packed by part of the key space. Parts of the words sum them and answer each chunk.
+The n-grams of a part, which share their last two bytes of context, are summed in a tree, FAN chunks at a time and then FAN
+sums, since a frequent context occurs in every chunk: no task meets more than FAN lists of distinct keys. The part's tree
+is weighed once, and its figures go back to FAN chunks at a time. So neither vocabulary nor tree is ever held in one place;
+only depths 0 and 1, at most 256 * 255 nodes, are broadcast.
 
 Cases: a null text is an empty one, scored as its END; if nothing was learned, every bit has probability 1/2; words are
-told apart by 64-bit hashes; equal rows get equal scores; no rows give none; extra columns are ignored.
+told apart by 64-bit hashes; equal rows get equal scores; a chunk has to fit in a worker's memory, and so has any one
+text; no rows give none; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +32,9 @@ from pyspark.sql import functions as F
 
 from orthoweave.llm.common import materialize
 
-#: Bytes of context, bytes of a chunk and of the text whose keys one part gets, bytes looked at at once, and the end.
-DEPTH, CHUNK, PER_PART, AT_ONCE, END = 4, 8 << 20, 64 << 20, 1 << 20, b"\xff"
+#: Bytes of context, bytes of a chunk and of the text whose keys one part gets, lists summed at a time, bytes looked at at
+#: once, and the end.
+DEPTH, CHUNK, PER_PART, FAN, AT_ONCE, END = 4, 8 << 20, 64 << 20, 32, 1 << 20, b"\xff"
 WORDS, GRAMS = 0, 1
 #: The key of the end token among words, and one that no n-gram has.
 END_KEY, SKIP = 0, np.uint64(1 << 63)
@@ -189,14 +193,36 @@ def _tree(keys: np.ndarray, counts: np.ndarray):
     return levels, place
 
 
-def _weigh(key: tuple, table: pa.Table) -> pa.Table:
-    """What the contexts of two bytes of a part add to those of one byte."""
-    _, _, keys, counts, _ = _unpack(table)
-    levels, _ = _tree(keys, counts)
-    node, zeros, ones, weighted = levels[-1][:4]
-    above, parent = np.unique(node & 0xFFFF, return_inverse=True)
-    got = {"node": pa.array(above, pa.int64())}
-    return pa.table(got | {n: pa.array(np.bincount(parent, v, len(above)), pa.float64()) for n, v in (("zeros", zeros), ("ones", ones), ("weighted", weighted))})
+def _sum_grams(key: tuple, table: pa.Table) -> pa.Table:
+    """One list of the distinct keys of some lists, with their counts."""
+    wide = lambda k, n: np.frombuffer(n, np.uint32 if 2 * n.size == k.size else np.int64).astype(np.int64)
+    held = [(k.as_buffer(), n.as_buffer()) for k, n in zip(table.column("keys"), table.column("ns"), strict=True)]
+    keys, ns = _sum(np.concatenate([np.frombuffer(k, np.uint64) for k, _ in held]), np.concatenate([wide(k, n) for k, n in held]))
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "lot": pa.array([key[1].as_py()], pa.int64()), "keys": pa.array([keys.tobytes()], pa.binary()), "ns": pa.array([ns.tobytes()], pa.binary())})
+
+
+def summed_grams(grams: DataFrame, chunks: int) -> DataFrame:
+    """part, keys, ns: one row a part, from lists by part and chunk."""
+    lists, lots = grams.select("part", F.col("chunk").alias("lot"), "keys", "ns"), None
+    while lots != 1:
+        lists = lists.withColumn("lot", F.expr(f"lot div {FAN}")).groupBy("part", "lot").applyInArrow(_sum_grams, "part long, lot long, keys binary, ns binary")
+        lots = -(-(lots or chunks) // FAN)
+    return lists.drop("lot")
+
+
+def _learned(keys: pa.Scalar, ns: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(ns.as_buffer(), np.int64)
+
+
+def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the contexts of two bytes of each part add to those of one byte."""
+    for batch in batches:
+        for keys, ns in zip(batch.column("keys"), batch.column("ns"), strict=True):
+            levels, _ = _tree(*_learned(keys, ns))
+            node, zeros, ones, weighted = levels[-1][:4]
+            above, parent = np.unique(node & 0xFFFF, return_inverse=True)
+            got = {"node": pa.array(above, pa.int64())}
+            yield pa.record_batch(got | {n: pa.array(np.bincount(parent, v, len(above)), pa.float64()) for n, v in (("zeros", zeros), ("ones", ones), ("weighted", weighted))})
 
 
 def top_of_tree(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,12 +242,12 @@ def top_of_tree(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np
 
 
 def _predict(held):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        chunks, each, keys, counts, place = _unpack(table)
+    """Each part's keys and the log10 of their probability."""
+
+    def figures(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         levels, bit_node = _tree(keys, counts)
         share, deeper = held.value
         node, zeros, ones = levels[-1][:3]
-        chance = None
         context = node >> 8 & 0xFF
         base, left = share[context, node & 0xFF], deeper[context, node & 0xFF]
         for i in range(len(levels) - 1, -1, -1):
@@ -231,15 +257,28 @@ def _predict(held):
                 base, left = base[parent], left[parent]
             w = np.exp(own - weighted) / 2 if i else np.ones(len(node))
             base, left = base + left * w * (ones + 0.5) / (zeros + ones + 1), left * (1 - w)
-        chance = base
         bits = np.stack([keys.astype(np.int64) >> (7 - b) & 1 for b in range(8)], 1)
-        p = chance[bit_node]
-        logs = np.log10(np.where(bits == 1, p, 1 - p)).sum(1)
-        return _answer(key[0].as_py(), GRAMS, chunks, each, logs.astype(np.float32)[place])
+        p = base[bit_node]
+        return np.log10(np.where(bits == 1, p, 1 - p)).sum(1).astype(np.float32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, keys, ns in zip(batch.column("part"), batch.column("keys"), batch.column("ns"), strict=True):
+                logs = figures(*_learned(keys, ns))
+                yield pa.record_batch({"part": pa.array([part.as_py()], pa.int64()), "keys": pa.array([keys.as_py()], pa.binary()), "logs": pa.array([logs.tobytes()], pa.binary())})
 
     return run
 
 
+def _answer_grams(key: tuple, lists: pa.Table, figures: pa.Table) -> pa.Table:
+    """The figures for the keys of some chunks of a part, one list for each of theirs."""
+    known = np.frombuffer(figures.column("keys")[0].as_buffer(), np.uint64) if len(figures) else np.zeros(0, np.uint64)
+    logs = np.frombuffer(figures.column("logs")[0].as_buffer(), np.float32) if len(figures) else np.zeros(0, np.float32)
+    each = [np.frombuffer(k.as_buffer(), np.uint64) for k in lists.column("keys")]
+    values = np.concatenate([logs[np.searchsorted(known, k)] for k in each]) if each else logs[:0]
+    return _answer(key[0].as_py(), GRAMS, lists.column("chunk").to_pylist(), each, values)
+
+
 def _finder(grams: np.ndarray, logs: np.ndarray):
     """The figure for each key by a table of rows per byte of context, over the bytes that occur, without any search."""
     seen = np.unique(grams.view(np.uint8)) if len(grams) else np.zeros(1, np.uint8)
@@ -326,9 +365,12 @@ def score(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: st
     words, grams = gathered.filter(F.col("kind") == WORDS), gathered.filter(F.col("kind") == GRAMS)
     summed = materialize(words.groupBy("part").applyInArrow(_sum_words, "chunk long, kind int, part long, values binary, tokens long, types long"), "words")
     total = summed.agg(F.sum("tokens"), F.sum("types")).first()
-    tops = grams.groupBy("part").applyInArrow(_weigh, "node long, zeros double, ones double, weighted double").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weighted")).toPandas().to_numpy(np.float64)
+    learned = materialize(summed_grams(grams, chunks), "grams")
+    tops = learned.mapInArrow(_weigh, "node long, zeros double, ones double, weighted double").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weighted")).toPandas().to_numpy(np.float64)
     held = spark.sparkContext.broadcast(top_of_tree(tops[:, 0].astype(np.int64), tops[:, 1], tops[:, 2], tops[:, 3]))
-    predicted = grams.groupBy("part").applyInArrow(_predict(held), "chunk long, kind int, part long, values binary")
+    told = learned.mapInArrow(_predict(held), "part long, keys binary, logs binary").withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((chunks - 1) // FAN).cast("long"))))
+    asked = grams.withColumn("lot", F.expr(f"chunk div {FAN}"))
+    predicted = asked.groupBy("part", "lot").cogroup(told.groupBy("part", "lot")).applyInArrow(_answer_grams, "chunk long, kind int, part long, values binary")
     answers = summed.select("chunk", "kind", "part", "values").unionByName(predicted)
     kind = dict(docs.select(doc_id).dtypes)[doc_id]
     return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(parts, int(total[0] or 0), int(total[1] or 0)), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

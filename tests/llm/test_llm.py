@@ -229,8 +229,9 @@ def ctw(train, texts, depth):
     return [sum(math.log10(p if bit else 1 - p) for s, i, node, bit in walk(raw) for p in (chance(s, i, node),)) for raw in texts]
 
 
-@pytest.mark.parametrize("none_learns", [False, True])
-def test_scores(spark, none_learns):
+@pytest.mark.parametrize(("none_learns", "fan"), [(False, 32), (False, 2), (True, 32)])
+def test_scores(spark, monkeypatch, none_learns, fan):
+    monkeypatch.setattr(lm_score, "FAN", fan)
     texts = [prose(12).title() for _ in range(25)] + [t for t in EDGES if t is None or len(t) < 300] + [prose(5)] * 3
     df = frame(spark, texts, True)
     got = {r.doc_id: r for r in lm_score.score(df, F.lit(True) if none_learns else bucket(F.col("doc_id"), 3) == 0).collect()}
