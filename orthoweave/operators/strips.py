@@ -67,21 +67,6 @@ def right_neighbours(matches: DataFrame, *, by: str) -> DataFrame:
     return best.withColumn("rank", claim).filter("rank = 1").drop("rank")
 
 
-def chain(links: DataFrame, *, by: str, longest: int = 64) -> DataFrame:
-    """by, i, seq: frames in order from the leftmost along links (i, j), ``longest`` at most; what no chain reaches is not
-    in it. The order of all frames is ``frame_order``.
-
-    Steps are joins of the frames reached last, so there is one join a step and never a cycle twice.
-    """
-    start = links.join(links.select(by, F.col("j").alias("i")), [by, "i"], "left_anti").groupBy(by).agg(F.min("i").alias("i")).withColumn("seq", F.lit(0))
-    got, last = start, start
-    for step in range(1, longest):
-        last = last.join(links.select(by, "i", "j"), [by, "i"]).select(by, F.col("j").alias("i"), F.lit(step).alias("seq"))
-        last = last.join(got.select(by, "i"), [by, "i"], "left_anti")
-        got = got.unionByName(last)
-    return got
-
-
 def frame_order(frames: DataFrame, links: DataFrame, *, by: str) -> DataFrame:
     """by, i, seq, overlap: every frame of frames (by, i) once, in the order of its strip, and its overlap with the one before.
 

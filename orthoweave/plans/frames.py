@@ -85,9 +85,9 @@ def marks_nearest_detection(spark, sf_dir):
     return frames.nearest_marks(found, spacing=10.0)
 
 
-@query("J14", f"WITH {PAIRS}, p AS (SELECT DISTINCT scene, l_id AS id, ref_x + x AS x, ref_y AS y FROM (SELECT scene, id AS l_id, ref_x, ref_y, off_x - ref_x AS x FROM pairs WHERE is_anchor)) SELECT scene, id FROM p WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.scene = p.scene AND q.id < p.id AND pow(p.x - q.x, 2) + pow(p.y - q.y, 2) < 900)")
+@query("J14", f"WITH {PAIRS}, p AS (SELECT scene, id, off_x AS x, ref_y AS y FROM pairs) SELECT scene, id FROM p WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.scene = p.scene AND q.id < p.id AND q.y BETWEEN p.y - 30 AND p.y + 30 AND pow(p.x - q.x, 2) + pow(p.y - q.y, 2) < 900)")
 def near_duplicate_points(spark, sf_dir):
-    pts = match_pairs(spark, sf_dir).filter("is_anchor").select("scene", "id", F.col("off_x").alias("x"), F.col("ref_y").alias("y"))
+    pts = match_pairs(spark, sf_dir).select("scene", "id", F.col("off_x").alias("x"), F.col("ref_y").alias("y"))
     return frames.drop_near(pts, by="scene", radius=30.0).select("scene", "id")
 
 

@@ -67,15 +67,17 @@ def right_neighbour_graph(spark, sf_dir):
     return strips.right_neighbours(_matches(spark, sf_dir), by="strip")
 
 
-@query("O8 O9", f"WITH RECURSIVE {_M}, s AS (SELECT strip, min(i) AS i FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.strip = r.strip AND q.j = r.i) GROUP BY strip), c AS (SELECT strip, i, 0 AS seq FROM s UNION ALL SELECT c.strip, r.j, c.seq + 1 FROM c JOIN r ON r.strip = c.strip AND r.i = c.i WHERE c.seq < 7) SELECT strip, i, min(seq) AS seq FROM c GROUP BY strip, i")
+@query(
+    "O8 O9",
+    f"""WITH RECURSIVE {_M}, a AS (SELECT strip, i FROM m UNION SELECT strip, j FROM m), k AS (SELECT strip, arg_min(i, (-overlap, i)) AS i FROM r GROUP BY strip),
+f AS (SELECT strip, min(i) AS i FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.strip = a.strip AND r.j = a.i) GROUP BY strip),
+c AS (SELECT strip, coalesce(f.i, k.i) AS i, CAST(0 AS BIGINT) AS overlap, 0 AS seq, [coalesce(f.i, k.i)] AS path FROM f FULL JOIN k USING (strip)
+ UNION ALL SELECT c.strip, r.j, r.overlap, c.seq + 1, list_append(c.path, r.j) FROM c JOIN r ON r.strip = c.strip AND r.i = c.i WHERE NOT list_contains(c.path, r.j))
+SELECT strip, i, overlap, seq FROM c UNION ALL
+SELECT a.strip, a.i, CAST(0 AS BIGINT), CAST((SELECT count(*) FROM c WHERE c.strip = a.strip) + row_number() OVER (PARTITION BY a.strip ORDER BY a.i) - 1 AS INTEGER) FROM a WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.strip = a.strip AND c.i = a.i)""",
+)
 def frame_chain(spark, sf_dir):
-    """What the chain from the leftmost frame reaches, as the SQL asks; all frames are in ``frame_order``."""
-    return strips.chain(strips.right_neighbours(_matches(spark, sf_dir), by="strip"), by="strip", longest=8)
-
-
-@query("O8 O9")
-def frame_order(spark, sf_dir):
-    """Every frame that a match names, disconnected ones and those of cycles too."""
+    """Every frame that a match names, along the chain from the leftmost, then disconnected ones; cycles are cut."""
     matches = _matches(spark, sf_dir)
     frames = matches.select("strip", "i").unionByName(matches.select("strip", F.col("j").alias("i")))
     return strips.frame_order(frames, strips.right_neighbours(matches, by="strip"), by="strip")

@@ -1,4 +1,4 @@
-"""Every query of the engine against its SQL on the smallest tables; those without SQL give rows."""
+"""Every query of the engine against its SQL on the smallest tables; those without SQL give rows that aren't all null."""
 
 import pytest
 
@@ -21,7 +21,8 @@ def test_query(spark, duck, name):
     if q.sql:
         assert_same(df, q.sql, duck)
     else:
-        assert df.columns and df.count() >= 0
+        got = df.collect()
+        assert got and any(v is not None for r in got for v in r)
 
 
 def test_entry(spark):
