@@ -23,9 +23,12 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where it is unset (tests) a temporary one."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, one machine has a temporary folder, and
+    a cluster an error, since its executors have no folder in common that is known here."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="orthoweave-"))
         found = _own[0]

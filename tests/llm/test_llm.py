@@ -332,6 +332,72 @@ def test_near_duplicates(spark, leaf, levels, k):
     assert sorted(r.doc_id for r in kept) == [i for i, (_, c) in enumerate(want) if i == c]
 
 
+def test_a_large_family_of_copies_loses_no_link(spark):
+    """Copies of one text with up to a quarter of the words changed: some are linked with near ones only, some with none."""
+    base = prose(150)
+    texts = [edited(base, rnd.randint(0, 36)) for _ in range(260)]
+    texts += [edited(t, 3) for t in texts[:40]] + [prose(60) for _ in range(20)]
+    want = brute_components(texts, 2)
+    assert len({c for _, c in want[:260]}) > 20
+    got = near_dedup.near_duplicates(frame(spark, texts), shingle=2, leaf=4, levels=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: c for i, (_, c) in enumerate(want)}
+
+
+def test_family_links_are_those_of_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(2**62), 2**62, 120)
+    sets = []
+    for i in range(150):
+        own = base[rng.random(120) > rng.random() * 0.25]
+        sets.append(np.unique(np.concatenate([own, rng.integers(0, 40, rng.integers(0, 25))])))
+    family = spark.createDataFrame([(7, i, 1000 + i, len(x)) for i, x in enumerate(sets)] + [(8, i, 1000 + i, len(x)) for i, x in enumerate(sets[:9])], "main long, rep long, label long, n long")
+    held = spark.createDataFrame([(i, bytearray(np.sort(x.view(np.uint64)).tobytes())) for i, x in enumerate(sets)], "uid long, set binary")
+    links = {(r.a, r.b) for r in near_dedup.family_links(family, held, 80).collect()}
+    top = {}
+
+    def root(x):
+        while top.get(x, x) != x:
+            x = top[x]
+        return x
+
+    def joined(pairs):
+        top.clear()
+        for a, b in pairs:
+            a, b = root(a), root(b)
+            top[max(a, b)] = min(a, b)
+        return {x: root(x) for x in range(1000, 1150)}
+
+    every = [(1000 + i, 1000 + j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if 100 * len(k := np.intersect1d(x, y)) >= 80 * (len(x) + len(y) - len(k))]
+    assert joined(links) == joined(every) and len(set(joined(every).values())) > 1
+
+
+def test_recall_of_pairs_at_the_limit(spark):
+    """Planted pairs of 0.80 to 0.85 among the documents of sf0.01, five-word shingles: 0.9 are to be found at least."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("n_chars between 800 and 6000").select("doc_id", "text").limit(400).collect()
+    shingler, rows, pairs = near_dedup.Shingler(5), [], []
+    for n, r in enumerate(docs):
+        x, near = set(shingler(r.text).tolist()), r.text
+        for _ in range(400):
+            near = edited(near, 1)
+            y = set(shingler(near).tolist())
+            if (alike := len(x & y) / len(x | y)) < 0.85:
+                break
+        rows.append((2 * n, r.text))
+        if 0.8 <= alike < 0.85:
+            rows.append((2 * n + 1, near))
+            pairs.append((2 * n, 2 * n + 1))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    recall = sum(got[a] == got[b] for a, b in pairs) / len(pairs)
+    print(f"recall of {len(pairs)} pairs: {recall:.4f}")
+    assert len(pairs) > 100 and recall >= 0.99
+
+
+def test_ids_that_are_no_integers(spark):
+    text = prose(30)
+    got = near_dedup.near_duplicates(spark.createDataFrame([("7", text), ("x", text), ("y", "other words")], "doc_id string, text string"), shingle=2).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == [("7", "7"), ("None", "7"), ("None", "None")]
+
+
 def test_near_duplicates_without_ids_or_rows(spark):
     assert near_dedup.near_duplicates(frame(spark, []), shingle=2).count() == 0
     text = prose(30)
