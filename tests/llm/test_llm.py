@@ -289,6 +289,34 @@ def test_contamination(spark, monkeypatch, broadcast):
     assert decontaminate.contamination(frame(spark, []), df).count() == 0
 
 
+def test_contamination_by_a_large_benchmark(spark, monkeypatch):
+    """Over 200,000 windows, with a text, a window and a benchmark shingle that a third of the rows hold, and a crowded sieve."""
+    monkeypatch.setattr(decontaminate, "SIEVE_CELLS", 1 << 8)
+    draw = random.Random(11)
+    run = lambda n: " ".join(f"w{draw.randrange(3000)}" for _ in range(n))
+    common = run(13)
+    items = [(i, (common[:24] + " " if i % 3 == 0 else "") + run(112)) for i in range(2100)] + [(9000, common), (9001, "ww vv")]
+    bits = [t.split() for _, t in items]
+    texts = [None, "", common, *[run(40) + " " + common + " " + run(300) for _ in range(60)], *[run(5) + " " + " ".join(bits[i][i % 90 : i % 90 + 12 + i % 3]) for i in range(60)], *[run(200) + " ww vv " + run(9)] * 60, *[run(80) for _ in range(60)]]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    assert decontaminate.item_windows(df, item_id="item_id", text="text", window=13, shingle=5).count() > 200_000
+    got = {r.doc_id: r for r in decontaminate.contamination(frame(spark, texts), df).collect()}
+    held = collections.defaultdict(set)
+    for (k, _), ws in zip(items, bits):
+        n = min(13, len(ws))
+        for i in range(len(ws) - n + 1):
+            held[" ".join(ws[i : i + n])].add(str(k))
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        ws, hit, which = (t or "").split(), set(), set()
+        for n in (2, 13):
+            for j in range(len(ws) - n + 1):
+                if found := held.get(" ".join(ws[j : j + n])):
+                    hit |= set(range(j, j + n))
+                    which |= found
+        assert (got[i].n_words, got[i].n_hit, got[i]["items"]) == (len(ws), len(hit), sorted(which)), i
+
+
 # 6
 
 
