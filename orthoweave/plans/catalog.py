@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orthoweave.plans import documents, frames, imagery, ledger, orbits, pairs, runs, scenes, strips  # noqa: F401  registers them
+from orthoweave.plans import coarse, documents, frames, imagery, ledger, orbits, pairs, runs, scenes, strips  # noqa: F401  registers them
 from orthoweave.plans.registry import REGISTERED
 
 FLAGSHIP = "scene_affine_fit"

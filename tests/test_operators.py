@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -273,3 +274,47 @@ def test_rest_imports_without_the_llm_folders(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op1_') or n == 'pipeline' for n in q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
+
+
+def test_stacked_choice_ladder(spark):
+    from orthoweave.operators import coarse
+
+    P = "scene string, k int, dx double, dy double, ncc double, vdx double, vdy double, n_matches long, agreement double"
+    none = (None, None, None, None)
+    peaks = [("v", 0, 0.0, 0.0, 0.9, 5.0, 5.0, 100, 0.5), ("v", 1, 0.0, 0.0, 0.4, 7.0, 7.0, 50, 0.9)]
+    peaks += [("c", i, 100.0 * i, 50.0, 0.2, *none) for i in range(3)] + [("cp", i, 100.0 * i, 50.0, 0.5, *none) for i in range(3)]
+    peaks += [("two", i, 100.0 * i, 50.0, 0.5, *none) for i in range(2)] + [("p", 0, 900.0, 0.0, 0.6, *none), ("p", 1, 5000.0, 0.0, 0.9, *none), ("u", 0, 900.0, 0.0, 0.6, *none)]
+    peaks += [("x", 0, 9000.0, 0.0, 0.6, *none), ("a", 0, 0.0, 9000.0, 0.6, *none), ("far", 0, 0.0, 0.0, 0.6, 90000.0, 0.0, 99, 0.9)]
+    priors = spark.createDataFrame([("cp", 100.0, 50.0), ("p", 800.0, 0.0), ("u", 800.0, 0.0), ("x", 0.0, 0.0), ("a", 0.0, 0.0)], "scene string, dx double, dy double")
+    single = spark.createDataFrame([("p", 500.0, 0.0), ("u", 20000.0, 0.0)], "scene string, dx double, dy double")
+    got = {r.scene: tuple(r)[1:] for r in coarse.stacked_choice(spark.createDataFrame(peaks, P), priors, single, radius_m=20000, cross_m=1000, along_m=2000).collect()}
+    gone = (None,) * 5
+    assert got == {
+        "v": ("validated", 1, 7.0, 7.0, 50, 0.9), "c": ("cluster", 1, 100.0, 50.0, 0, 0.3), "cp": ("cluster", 1, 100.0, 50.0, 0, 0.5), "two": ("no_prior", *gone), "p": ("prior", 0, 900.0, 0.0, 0, 0.6),
+        "u": ("uncorroborated", *gone), "x": ("cross", *gone), "a": ("along", *gone), "far": ("beyond", *gone),
+    }
+
+
+def test_gains_bring_strips_together(spark):
+    from orthoweave.operators import coarse
+
+    rnd = np.random.default_rng(3)
+    scene = rnd.uniform(40, 120, 400)
+    strips = [scene * g + o for g, o in ((1.0, 0.0), (1.25, 0.0), (0.8, 10.0))]
+    rows = [(1, i, i + 1, float(a), float(b)) for i in (0, 1) for a, b in zip(strips[i], strips[i + 1])] + [(2, 0, 1, 3.0, 50.0)] * 200
+    sums = coarse.overlap_sums(spark.createDataFrame(rows, "mosaic long, i long, j long, a double, b double"))
+    assert [(r.mosaic, r.n) for r in sums.collect()] == [(1, 400)] * 2
+    got = {r.strip: (r.gain, r.offset) for r in coarse.gains(sums, strength=1e-3 * 100).collect()}
+    normal, right = np.eye(3) * 0.1, np.full(3, 0.1)
+    for i, j in ((0, 1), (1, 2)):
+        a, b = strips[i], strips[j]
+        normal[i, i] += np.mean(a * a)
+        normal[j, j] += np.mean(b * b)
+        normal[i, j] -= np.mean(a * b)
+        normal[j, i] -= np.mean(a * b)
+    gain = np.clip(np.linalg.solve(normal, right), 0.5, 2)
+    means = [np.mean(s) * g for s, g in zip(strips, gain)]
+    half = [(means[0] - means[1]) / 2, (means[1] - means[2]) / 2]
+    want = [-half[0], (half[0] - half[1]) / 2, half[1]]
+    for k in range(3):
+        assert got[k] == pytest.approx((gain[k], want[k]), abs=1e-6)
