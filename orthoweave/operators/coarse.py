@@ -185,3 +185,33 @@ def gains(sums: DataFrame, *, strength: float = 100.0) -> DataFrame:
         return pd.DataFrame({"mosaic": pdf["mosaic"].iloc[0], "strip": strips, "gain": gain, "offset": offset})
 
     return sums.groupBy("mosaic").applyInPandas(solve, "mosaic long, strip long, gain double, offset double")
+
+
+def kept_anchors(anchors: DataFrame, fits: DataFrame, *, columns: int, rows: int, most: int = 3, factor: float = 4.0, floor_m: float = 100.0, sure_m: float = 30.0) -> DataFrame:
+    """scene, id, residual, forced: anchors (scene, id, ref_x, ref_y, off_x, off_y) that a first fit bears out, and of the
+    others up to ``most`` in grid cells that none of those holds, the nearest first, if two or more are rejected and the raw
+    fit is tight. fits (scene, a, b, tx, c, d, ty, med_res, raw_med_res, left, bottom, right, top), one a scene."""
+    c = F.col
+    miss = F.hypot(c("ref_x") - (c("a") * c("off_x") + c("b") * c("off_y") + c("tx")), c("ref_y") - (c("c") * c("off_x") + c("d") * c("off_y") + c("ty")))
+    cell = lambda v, lo, hi, n: F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor((c(v) - c(lo)) / ((c(hi) - c(lo)) / n))))
+    rows_ = anchors.join(fits, "scene").select("scene", "id", miss.alias("residual"), "raw_med_res", cell("ref_x", "left", "right", columns).alias("gc"), cell("ref_y", "bottom", "top", rows).alias("gr"), (miss <= F.greatest(factor * c("med_res"), F.lit(floor_m))).alias("ok"))
+    per_cell, per_scene = W.partitionBy("scene", "gr", "gc"), W.partitionBy("scene")
+    seen = rows_.withColumn("held", F.max("ok").over(per_cell)).withColumn("lost", F.count_if(~c("ok")).over(per_scene))
+    first = F.row_number().over(per_cell.orderBy("ok", "residual", "id"))
+    able = ~c("ok") & ~c("held") & (c("lost") >= 2) & (c("raw_med_res") <= sure_m)
+    seen = seen.withColumn("able", F.coalesce(able, F.lit(False)) & (first == 1))
+    seen = seen.withColumn("place", F.row_number().over(per_scene.orderBy(F.desc("able"), "residual", "id")))
+    return seen.filter(c("ok") | (c("able") & (c("place") <= most))).select("scene", "id", "residual", (~c("ok")).alias("forced"))
+
+
+REPORT = "struct<candidate: string, total_score: double, accepted: boolean, grade: string, quality_grade: string, image_metrics: struct<patch_med: double, grid_score: double>>"
+
+
+def selected_reports(files: DataFrame) -> DataFrame:
+    """id, candidate, score, accepted, grade, patch_med, grid_score of QA files (id, json): the report written as selected, else
+    the one of the selected name, else the first accepted one, else the first; nulls where the file can't be read."""
+    got = files.select("id", F.from_json("json", f"struct<selected: {REPORT}, selected_candidate: string, reports: array<{REPORT}>>").alias("q"))
+    first = lambda test: F.get(F.filter("q.reports", test), F.lit(0))
+    pick = F.coalesce("q.selected", first(lambda r: r["candidate"] == F.col("q.selected_candidate")), first(lambda r: r["accepted"]), F.get("q.reports", F.lit(0)))
+    got = got.select("id", pick.alias("r"))
+    return got.select("id", F.col("r.candidate").alias("candidate"), F.col("r.total_score").alias("score"), F.col("r.accepted").alias("accepted"), F.coalesce("r.grade", "r.quality_grade").alias("grade"), F.col("r.image_metrics.patch_med").alias("patch_med"), F.col("r.image_metrics.grid_score").alias("grid_score"))

@@ -235,3 +235,37 @@ def restored(tiles: DataFrame, column: str) -> DataFrame:
         return pd.DataFrame(rows, columns=["px", "k1", "k2", "line"])
 
     return tiles.withColumn("d", run(F.col(column))).select(*tiles.columns, "d.*")
+
+
+def windowed_shifts(a: np.ndarray, b: np.ndarray, size: int, stride: int, least_valid: float, least_response: float) -> tuple[np.ndarray, int]:
+    """Lengths in pixels of the shifts of windowed squares that are valid in both and respond, and how many were valid."""
+    both = np.where((a > 0) & (b > 0), 1.0, 0.0)
+    window = np.outer(np.hanning(size), np.hanning(size))
+    at = patches(both, size, stride, least_valid)
+    got = [phase_shift(a[r : r + size, c : c + size] * window, b[r : r + size, c : c + size] * window) for r, c in at]
+    return np.array([np.hypot(x, y) for x, y, peak in got if peak > least_response]), len(at)
+
+
+def cell_displacements(pairs: DataFrame, a: str, b: str, *, cells: int, size: int, stride: int, res_m: float, least_valid: float = 0.0, least_response: float = 0.03, least: int = 2) -> DataFrame:
+    """pairs with row, col, patch_med, patch_p90, patch_max (m), patch_count, valid: each cell of a cells x cells grid over both
+    tiles, and the whole tile as row and column -1. Cells with fewer than ``least`` shifts are invalid and have no figures."""
+    one = "struct<row: int, col: int, patch_med: double, patch_p90: double, patch_max: double, patch_count: long, valid: boolean>"
+
+    def figures(r: int, c: int, p: np.ndarray, q: np.ndarray) -> dict:
+        d, asked = windowed_shifts(p, q, size, stride, least_valid, least_response)
+        if asked < least or len(d) < least:
+            return {"row": r, "col": c, "patch_med": None, "patch_p90": None, "patch_max": None, "patch_count": asked if asked < least else len(d), "valid": False}
+        d = d * res_m
+        return {"row": r, "col": c, "patch_med": float(np.median(d)), "patch_p90": float(np.percentile(d, 90)), "patch_max": float(d.max()), "patch_count": len(d), "valid": True}
+
+    @F.pandas_udf(f"array<{one}>")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        rows = []
+        for u, v in zip(x, y, strict=True):
+            p, q = square(u), square(v)
+            edges_ = [round(k * p.shape[0] / cells) for k in range(cells + 1)]
+            parts = [(r, c, slice(edges_[r], edges_[r + 1]), slice(edges_[c], edges_[c + 1])) for r in range(cells) for c in range(cells)]
+            rows.append([figures(-1, -1, p, q), *[figures(r, c, p[i, j], q[i, j]) for r, c, i, j in parts]])
+        return pd.Series(rows)
+
+    return pairs.select(*pairs.columns, F.inline(run(F.col(a), F.col(b))))

@@ -318,3 +318,26 @@ def test_gains_bring_strips_together(spark):
     want = [-half[0], (half[0] - half[1]) / 2, half[1]]
     for k in range(3):
         assert got[k] == pytest.approx((gain[k], want[k]), abs=1e-6)
+
+
+def test_geographic_filter_and_similarity(spark):
+    turn = ((0.99, -0.05, 30.0), (0.05, 0.99, -20.0))
+    rows = _pairs(spark, m=turn, bad=(3, 8)).unionByName(_pairs(spark, n=5, bad=(0,), scene="few")).withColumn("is_anchor", F.col("id") == "p008")
+    got = {(r.scene, r.id) for r in iterative.geographic_filter(rows).collect()}
+    assert ("s", "p003") not in got and ("s", "p008") in got and len(got) == 39 + 5
+    fits = {r.scene: r for r in iterative.similarity_fits(rows).collect()}
+    assert np.allclose([fits["s"][c] for c in ("a", "b", "tx", "c", "d", "ty")], [*turn[0], *turn[1]], atol=1e-6) and fits["s"].inliers == 38
+    assert iterative.similarity_fits(rows.filter("id < 'p004'")).count() == 0
+
+
+def test_cell_displacements_find_a_known_shift(spark):
+    from orthoweave.operators import imaging
+
+    x = np.random.default_rng(5).uniform(1, 2, (80, 80))
+    a, b = x[8:72, 8:72], x[8:72, 6:70]
+    empty = a.copy()
+    empty[:32, :32] = 0
+    df = spark.createDataFrame([(0, a.ravel().tolist(), b.ravel().tolist()), (1, empty.ravel().tolist(), b.ravel().tolist())], "tile long, a array<double>, b array<double>")
+    got = {(r.tile, r.row, r.col): r for r in imaging.cell_displacements(df, "a", "b", cells=2, size=16, stride=8, res_m=10.0, least_valid=0.5).collect()}
+    assert len(got) == 10 and all(abs(r.patch_med - 20) < 1.5 and r.patch_max >= r.patch_p90 for r in got.values() if r.valid)
+    assert not got[1, 0, 0].valid and got[1, 0, 0].patch_med is None and sum(r.valid for r in got.values()) == 9
