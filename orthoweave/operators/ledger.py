@@ -18,13 +18,16 @@ FALLBACK = {"coastal_obia": "heuristic", "heuristic": "coastal_obia"}
 
 
 def sidecars(images: DataFrame, listing: DataFrame, priors_dir: str | None = None) -> DataFrame:
-    """path, prior, place: the files of listing (file) that go with each image (path), the priors' folder first."""
+    """path, prior, place: the files of listing (file) that go with each image (path), the priors' folder first.
+
+    The join is by shuffle: Spark takes either side for smaller than its exploded names are, and would broadcast it.
+    """
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     stem = F.regexp_replace(F.regexp_extract("path", r"([^/]*)$", 1), r"\.[^.]*$", "")
     folders = [F.lit(priors_dir)] * (priors_dir is not None) + [F.when(folder == "", ".").otherwise(folder)]
     names = F.array(*[F.concat(d, F.lit("/"), stem, F.lit(s)) for d in folders for s in SIDECARS])
     asked = images.select("path", F.posexplode(F.array_distinct(names)).alias("k", "prior"))
-    found = asked.join(listing.select(F.col("file").alias("prior")).distinct(), "prior")
+    found = asked.join(listing.select(F.col("file").alias("prior")).distinct().hint("merge"), "prior")
     return found.select("path", "prior", (F.row_number().over(W.partitionBy("path").orderBy("k")) - 1).alias("place"))
 
 

@@ -19,3 +19,9 @@ def test_translation_groups_are_named_as_sql_names_them_beyond_ten_million(spark
     got = q.run(spark, str(tmp_path))
     assert any(r.scene.endswith("000.0") for r in got.collect())
     assert_same(got, q.sql, connect(str(tmp_path)))
+
+
+def test_sidecars_are_joined_by_shuffle(spark):
+    """The names of all images' sidecars are many times the table that Spark judges them by."""
+    plan = REGISTERED["sidecar_paths"].run(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
