@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orthoweave.functions.numbers import MAD_SCALE, clip, median
+from orthoweave.operators.nearest import nearest
 
 # Axes of the ellipsoid in m; rows, columns and spacing in mm of the calibration marks.
 WGS84_A, WGS84_B, MARK_ROWS, MARK_COLUMNS, MARK_MM = 6378137.0, 6356752.314245, 23, 47, 10.0
@@ -184,16 +185,16 @@ def with_confidence(pair: Column, confidence: Column) -> Column:
     return pair.withField("confidence", confidence)
 
 
-def point_weights(points: DataFrame, *, by: str, cell: float = 0.3) -> DataFrame:
+def point_weights(points: DataFrame, *, by: str, within: float = 0.3) -> DataFrame:
     """points (x, y in shares of the frame, virtual, prec) with weight: precision of real points; of virtual ones .05 to
-    .40, growing with the distance to the nearest real point between .1 and .3. Cells of .3 hold all that matters."""
-    around = F.sequence(F.lit(-1), F.lit(1))
-    at = lambda df: df.withColumn("gx", F.floor(F.col("x") / cell)).withColumn("gy", F.floor(F.col("y") / cell))
-    real = at(points.filter(~F.col("virtual"))).select(by, F.col("x").alias("rx"), F.col("y").alias("ry"), "gx", "gy")
-    asked = at(points.filter("virtual")).select(by, "id", "x", "y", "gx", "gy").withColumn("i", F.explode(around)).withColumn("j", F.explode(around)).withColumn("gx", F.col("gx") + F.col("i")).withColumn("gy", F.col("gy") + F.col("j"))
-    near = asked.join(real, [by, "gx", "gy"]).groupBy(by, "id").agg(F.min(F.sqrt(F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2))).alias("dist"))
+    .40, growing with the distance to the nearest real point between .1 and .3. Places are searched once, however many
+    points they hold."""
+    place = points.select(F.col(by).alias("scene"), "x", "y", "virtual").distinct()
+    asked = place.filter("virtual").select("scene", F.struct("x", "y").alias("id"), "x", "y")
+    real = place.filter(~F.col("virtual")).select("scene", F.col("x").alias("qx"), F.col("y").alias("qy"), F.lit(0).alias("q"))
+    near = nearest(asked, real, k=1, cell=within / 2, within=within).select(F.col("scene").alias(by), "x", "y", "dist")
     ramp = clip((F.coalesce("dist", F.lit(1.0)) - 0.1) / 0.2, 0.0, 1.0) * 0.35 + 0.05
-    return points.join(near, [by, "id"], "left").select(*points.columns, F.when(F.col("virtual"), ramp).otherwise(F.col("prec")).alias("weight"))
+    return points.join(near, [by, "x", "y"], "left").select(*points.columns, F.when(F.col("virtual"), ramp).otherwise(F.col("prec")).alias("weight"))
 
 
 def covered_by_tiles(boxes: DataFrame, tiles: DataFrame, *, samples: int = 4) -> DataFrame:

@@ -25,3 +25,21 @@ def test_sidecars_are_joined_by_shuffle(spark):
     """The names of all images' sidecars are many times the table that Spark judges them by."""
     plan = REGISTERED["sidecar_paths"].run(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_point_weights_search_each_place_once(spark, monkeypatch):
+    from orthoweave.operators import frames
+
+    rng = np.random.default_rng(9)
+    g = pd.DataFrame({"g": rng.choice(["a", "b"], 900), "id": range(900), "x": rng.integers(0, 12, 900) / 12, "y": rng.integers(0, 3, 900) / 3, "virtual": rng.random(900) < 0.98, "prec": 2.0})
+    g = pd.concat([g, pd.DataFrame({"g": "alone", "id": [900, 901], "x": 0.5, "y": 0.5, "virtual": True, "prec": 2.0})])
+    asked, search = [], frames.nearest
+    monkeypatch.setattr(frames, "nearest", lambda a, *args, **more: asked.append(a.count()) or search(a, *args, **more))
+    got = {r.id: r.weight for r in frames.point_weights(spark.createDataFrame(g), by="g").collect()}
+    want = {}
+    for r in g.itertuples():
+        real = g[(g.g == r.g) & ~g.virtual]
+        d = np.hypot(real.x - r.x, real.y - r.y).min() if len(real) else 1.0
+        want[r.id] = min(1, max(0, (d - 0.1) / 0.2)) * 0.35 + 0.05 if r.virtual else r.prec
+    assert len(got) == len(g) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert asked == [len(g[g.virtual][["g", "x", "y"]].drop_duplicates())]
