@@ -43,3 +43,24 @@ def test_point_weights_search_each_place_once(spark, monkeypatch):
         want[r.id] = min(1, max(0, (d - 0.1) / 0.2)) * 0.35 + 0.05 if r.virtual else r.prec
     assert len(got) == len(g) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
     assert asked == [len(g[g.virtual][["g", "x", "y"]].drop_duplicates())]
+
+
+def _scenes(spark, wild: bool):
+    rng = np.random.default_rng(12)
+    off = rng.uniform(0, 1e4, (700, 2))
+    ref = off @ np.array([[1.01, -0.03], [0.02, 0.99]]) + [100, -50] + rng.normal(0, 8, (700, 2))
+    bad = rng.choice(700, 200 if wild else 7, replace=False)
+    ref[bad] += rng.normal(0, 400, (len(bad), 2)) + 300
+    g = pd.DataFrame({"id": [f"p{i}" for i in rng.permutation(700)], "scene": np.where(np.arange(700) < 400, "s", "t"), "is_anchor": rng.random(700) < 0.1, "ref_x": ref[:, 0], "ref_y": ref[:, 1], "off_x": off[:, 0], "off_y": off[:, 1], "confidence": rng.random(700), "prec": 1.0})
+    few = g.head(30).assign(scene="few", id=[f"q{i}" for i in range(30)])
+    return spark.createDataFrame(pd.concat([g, few])).repartition(5)
+
+
+def test_cross_validation_of_large_scenes_is_that_of_one_task(spark):
+    from orthoweave.operators import iterative
+
+    for wild in (False, True):
+        rows = _scenes(spark, wild)
+        whole, passes = ({r.scene: r.cv_mean_m for r in iterative.cross_validate(rows, most=m).collect()} for m in (10**6, 50))
+        assert len(passes) == 3 and passes.keys() == whole.keys() and all(abs(passes[s] / whole[s] - 1) < 1e-9 for s in whole)
+    assert max(whole.values()) < 40
