@@ -169,3 +169,85 @@ def consensus(rows: DataFrame, n: dict[str, int], places: Callable, threshold: f
 
     hits = {s: v for (s, _), v in told(rows, agree, lambda _, v: np.sum(v, 0)).items()}
     return {s: models[s][int(np.argmax(v))] for s, v in hits.items() if v.max() > 0}
+
+
+def outlier_removal(rows: DataFrame, n: dict[str, int], *, floor_m: float, rounds: int) -> DataFrame:
+    """rows left with residual, as ``iterative.outlier_removal``, in three passes a round. Medians are not sought: how many
+    errors lie below a third of the worst, and which are nearest to it, tell whether the worst is beyond three of them."""
+    gone: dict[str, list[str]] = {s: [] for s in n}
+    model: dict[str, np.ndarray] = {}
+    box: dict[str, tuple[float, float, int]] = {}
+
+    def of(scenes, *more: str) -> DataFrame:
+        named = ["id"] if any(gone.values()) and "id" not in more else []
+        return rows.filter(F.col("scene").isin(list(scenes))).select("scene", "off_x", "off_y", "ref_x", "ref_y", "is_anchor", *named, *more)
+
+    def left(scene, g):
+        return g[~g["id"].isin(gone[scene])] if gone[scene] else g
+
+    def fit(scenes, anchors: float) -> None:
+        def step(scene, g):
+            g = left(scene, g)
+            off, ref = _points(g)
+            w = g.confidence.to_numpy(float) * np.where(g.is_anchor.to_numpy(bool), anchors, 1)
+            return {"fit": factor(off, ref, w), "sum": np.r_[off.sum(0), len(g)], "lo": [off[:, 0].min(initial=np.inf)], "hi": [off[:, 0].max(initial=-np.inf)]}
+
+        how = {"fit": factors, "sum": lambda v: np.sum(v, 0), "lo": min, "hi": max}
+        got = told(of(scenes, "confidence"), step, lambda k, v: how[k](v))
+        for s in scenes:
+            sums = np.asarray(got[s, "sum"])
+            model[s], box[s] = solved(got[s, "fit"], sums[:2] / sums[2]), (got[s, "lo"][0], got[s, "hi"][0], int(sums[2]))
+
+    def judged(scene, g):
+        g = left(scene, g)
+        off, ref = _points(g)
+        return g, _errors(model[scene], off, ref), off[:, 0] < (box[scene][0] + box[scene][1]) / 2
+
+    def worst(scene, g):
+        g, r, west = judged(scene, g)
+        if not len(g):
+            return {}
+        at = np.flatnonzero(r == r.max())
+        i = at[np.argmin(g["id"].to_numpy()[at])]
+        return {"worst": [[-float(r[i]), g["id"].iloc[i], bool(west[i]), bool(g.is_anchor.iloc[i])]], "west": int(west.sum())}
+
+    fit(n, 5)
+    busy = set(n)
+    for turn in range(rounds):
+        busy = {s for s in busy if turn < n[s] // 3 and box[s][2] > 6}
+        if not busy:
+            break
+        got = told(of(busy, "id"), worst, lambda k, v: [min(x[0] for x in v)] if k == "worst" else sum(v))
+        top = {s: got[s, "worst"][0] for s in busy}
+        halves = {s: got[s, "west"] >= 3 and box[s][2] - got[s, "west"] >= 3 for s in busy}
+        busy = {s for s in busy if -top[s][0] > max(floor_m, max(5 * floor_m, 75) if top[s][3] else 0)}
+        if not busy:
+            break
+
+        def near(scene, g):
+            g, r, west = judged(scene, g)
+            r = r[west == top[scene][2]] if halves[scene] else r
+            less = 3 * r < -top[scene][0]
+            return {"n": np.array([len(r), int(less.sum())]), "below": float(r[less].max(initial=-np.inf)), "above": float(r[~less].min(initial=np.inf))}
+
+        how = {"n": lambda v: np.sum(v, 0), "below": max, "above": min}
+        got = told(of(busy), near, lambda k, v: how[k](v))
+        for s in list(busy):
+            k, less = map(int, got[s, "n"])
+            beyond = less > k // 2 if k % 2 or less != k // 2 else 3 * ((got[s, "below"] + got[s, "above"]) / 2) < -top[s][0]
+            if beyond:
+                gone[s].append(top[s][1])
+            else:
+                busy.remove(s)
+        if busy:
+            fit(sorted(busy), 1)
+    changed = sorted(s for s in n if gone[s])
+    if changed:
+        fit(changed, 5)
+    fits = rows.sparkSession.createDataFrame([(s, *map(float, m.ravel())) for s, m in model.items()], "scene string, _a double, _b double, _tx double, _c double, _d double, _ty double")
+    away = F.lit(False)
+    for s in changed:
+        away = away | ((F.col("scene") == s) & F.col("id").isin(gone[s]))
+    px = F.col("_a") * F.col("off_x") + F.col("_b") * F.col("off_y") + F.col("_tx") - F.col("ref_x")
+    py = F.col("_c") * F.col("off_x") + F.col("_d") * F.col("off_y") + F.col("_ty") - F.col("ref_y")
+    return rows.filter(~away).join(F.broadcast(fits), "scene").select(*rows.columns, F.sqrt(px * px + py * py).alias("residual"))

@@ -64,3 +64,12 @@ def test_cross_validation_of_large_scenes_is_that_of_one_task(spark):
         whole, passes = ({r.scene: r.cv_mean_m for r in iterative.cross_validate(rows, most=m).collect()} for m in (10**6, 50))
         assert len(passes) == 3 and passes.keys() == whole.keys() and all(abs(passes[s] / whole[s] - 1) < 1e-9 for s in whole)
     assert max(whole.values()) < 40
+
+
+def test_outliers_of_large_scenes_are_those_of_one_task(spark):
+    from orthoweave.operators import iterative
+
+    for wild in (False, True):
+        rows = _scenes(spark, wild)
+        whole, passes = ({(r.scene, r.id): r.residual for r in iterative.outlier_removal(rows, most=m).collect()} for m in (10**6, 50))
+        assert passes.keys() == whole.keys() and len(whole) < 730 and all(abs(passes[k] - whole[k]) < 1e-6 for k in whole)
