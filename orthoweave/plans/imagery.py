@@ -45,9 +45,7 @@ def cloudy_tiles(spark, sf_dir):
 @query("R10", _P + ", j AS (SELECT a.tile, b.tile AS other, a.px AS x, b.px AS y FROM pixels a JOIN pixels b ON a.strip = b.strip AND a.r = b.r AND a.c = b.c AND a.tile < b.tile WHERE a.px <> 0 AND b.px <> 0) SELECT tile, other, round(CASE WHEN count(*) < 16 THEN -1.0 ELSE corr(x, y) END, 6) AS zncc FROM j GROUP BY ALL")
 def tile_correlation(spark, sf_dir):
     """Every two tiles of one strip, each pair once. The pairs grow with the square of a strip's tiles."""
-    px = pixels(spark, sf_dir).select("tile", "strip", "r", "c", "px")
-    there = px.withColumnRenamed("tile", "other").withColumnRenamed("px", "py")
-    return tiles.correlated(px.join(there, ["strip", "r", "c"]).filter("tile < other")).select("tile", "other", F.round("zncc", 6).alias("zncc"))
+    return tiles.correlated_within(pixels(spark, sf_dir), by="strip").select("tile", "other", F.round("zncc", 6).alias("zncc"))
 
 
 _MIRROR = "CASE WHEN {0} < 0 THEN -({0}) WHEN {0} > 7 THEN 14 - ({0}) ELSE {0} END"

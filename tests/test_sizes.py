@@ -96,3 +96,21 @@ def test_spatial_dedup_in_tiles_is_the_loop_over_all(spark, tmp_path):
         want |= {i for q, i in first.items() if q not in full}
     got = [r.id for r in iterative.spatial_dedup(spark.createDataFrame(g), apart=20.0, cell=50.0, tile=8, halo=2).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_tiles_are_correlated_by_blocks_as_by_pixels(spark):
+    from orthoweave.operators import tiles
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(5, 1, (60, 16)) * (rng.random((60, 16)) < 0.97)
+    x[3], x[4], x[5] = 0.0, 7.0, [1.0] + [0.0] * 15
+    x[:, ::2] = np.where(x[:, ::2] == 0, 0.5, x[:, ::2])
+    x[3] = 0.0
+    px = spark.createDataFrame(pd.DataFrame([(t, t % 3, r, c, x[t, 4 * r + c]) for t in range(60) for r in range(4) for c in range(4)], columns=["tile", "strip", "r", "c", "px"]))
+    there = px.withColumnRenamed("tile", "other").withColumnRenamed("px", "py")
+    want = {(r.tile, r.other): r.zncc for r in tiles.correlated(px.join(there, ["strip", "r", "c"]).filter("tile < other")).collect()}
+    for block in (7, 100):
+        df = tiles.correlated_within(px, by="strip", size=4, block=block)
+        got = [((r.tile, r.other), r.zncc) for r in df.collect()]
+        assert len(got) == len(want) and dict(got).keys() == want.keys() and all(abs(z - want[k]) < 1e-9 for k, z in got)
+        assert {-1.0} < {z for _, z in got}
